@@ -1,0 +1,56 @@
+"""Every registered query against its SQL twin in DuckDB, on the smallest tables."""
+
+import sys
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import __spark_entry__ as entry  # noqa: E402
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def engine(folder):
+    connection = duckdb.connect()
+    for path in Path(folder).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def comparable(frame: pd.DataFrame) -> list[tuple]:
+    frame = frame[sorted(frame.columns)]
+
+    def plain(value):
+        if value is None or value is pd.NaT or value != value:
+            return ""
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            return repr(float(value))
+        return str(pd.Timestamp(value)) if hasattr(value, "year") else str(value)
+
+    return sorted(tuple(plain(v) for v in row) for row in frame.astype(object).itertuples(index=False))
+
+
+def test_every_sql_belongs_to_a_query():
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_sql(spark, folder, engine, name):
+    got = QUERIES[name](spark, folder).toPandas()
+    wanted = engine.execute(SQL[name]).fetchdf()
+    assert sorted(got.columns) == sorted(wanted.columns)
+    assert comparable(got) == comparable(wanted)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_query_without_sql_has_rows(spark, folder, name):
+    assert QUERIES[name](spark, folder).count() > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0

@@ -1,35 +1,40 @@
 """Exponential moving average as windows over chunks.
 
 With smoothing ``a = 2 / (span + 1)`` and ``q = 1 - a``, a known price ``x`` that
-comes ``g`` rows after the last known one moves the average from ``e`` to
-``(q**g * e + a * x) / (q**g + a)``. That step is affine in ``e``, so with ``P``
-the product of the steps' factors since the chunk began,
+comes ``g`` rows after the last known one has the share ``c = a / (q**g + a)`` in
+the new average: ``e -> (1 - c) * e + c * x``. That step is affine in ``e``. Let
+``e_1`` be the average at the first known price of a chunk and ``P`` the product of
+``1 - c`` over the steps since; then
 
-    e_t = P_t * sum(b_i / P_i),   b_i = a * x_i / (q**g_i + a)
+    e_t = P_t * (e_1 + sum(c_i * x_i / P_i))
 
 which is a cumulative sum. Every term weighs less the older it is, exactly as in
-the recursion, so nothing cancels; ``P`` stays inside the range of a double
-because a chunk's length is bounded (``chunk_days``). The one value a chunk needs
-from the chunk before is its last average: a short fold over the chunks of a
-symbol supplies it.
+the recursion, so nothing cancels; ``P`` stays inside the range of a double because
+a chunk's length is bounded (``chunk_days``). What a chunk needs from the chunks
+before is ``e_1``; a short fold over the chunks of a symbol supplies it.
 
 Rows without a price repeat the last average; rows before the first price have
-none.
+none. The expressions are SQL text, which builds a plan of this size in a fraction
+of the calls that column objects take.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.chunks import CHUNK, CHUNK_DAYS, HALO, within_chunk
+from tickloom.operators.chunks import CHUNK, CHUNK_DAYS
 
-# Largest power of ten a chunk's factor may shrink by.
+# Powers of ten a chunk's factor may shrink by.
 MAX_SHRINK = 290
 
+ORDERED = f"PARTITION BY symbol, {CHUNK} ORDER BY date"
+SO_FAR = f"OVER ({ORDERED} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+BEFORE = f"OVER ({ORDERED} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
 
 def smoothing(span: int) -> float:
     return 2.0 / (span + 1)
@@ -41,190 +46,140 @@ def chunk_days(spans: Sequence[int]) -> int:
         return CHUNK_DAYS
     if min(spans) < 2:
         raise ValueError("a span is at least 2")
-    decade_per_row = -math.log10(1 - smoothing(min(spans)))
-    return min(CHUNK_DAYS, int(MAX_SHRINK / decade_per_row))
-
-
-def _so_far():
-    return within_chunk().rowsBetween(Window.unboundedPreceding, 0)
+    decades_per_row = -math.log10(1 - smoothing(min(spans)))
+    return min(CHUNK_DAYS, int(MAX_SHRINK / decades_per_row))
 
 
-def _until_here():
-    return within_chunk().rowsBetween(Window.unboundedPreceding, -1)
+def add(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return rows.selectExpr("*", *[f"{text} AS {name}" for name, text in columns.items()])
 
 
-def _known() -> Column:
-    return ~F.col(HALO) & F.col("current_price").isNotNull()
+def known(value: str) -> str:
+    """``value`` on the chunk's own rows that have a price."""
+    return f"CASE WHEN NOT _halo AND current_price IS NOT NULL THEN {value} END"
 
 
-def step_weight(span: int, gap: Column) -> Column:
-    """``q**gap``: what is left of the old weight after ``gap`` rows."""
-    return F.pow(F.lit(1 - smoothing(span)), gap)
+# Number of the row within its chunk, halo rows not counted.
+POSITION = f"sum(CASE WHEN NOT _halo THEN 1 END) {SO_FAR}"
+# Rows since the last known price; null on the chunk's first one.
+GAP = known(f"_at - last({known('_at')}, true) {BEFORE}")
 
 
-def blend(span: int, old: Column, gap: Column, price: Column) -> Column:
-    """The average after ``price`` arrives ``gap`` rows after the last known one."""
+def share(span: int, rows: str) -> str:
+    """Weight of a price that comes ``rows`` rows after the last known one."""
     alpha = smoothing(span)
-    weight = step_weight(span, gap)
-    return (weight * old + alpha * price) / (weight + alpha)
-
-
-def position() -> Column:
-    """Number of the row within its chunk, halo rows not counted."""
-    return F.sum(F.when(~F.col(HALO), 1)).over(_so_far())
-
-
-def gap() -> Column:
-    """Rows since the last known price; null on the chunk's first one."""
-    known = _known()
-    last_known = F.last(F.when(known, F.col("_at")), ignorenulls=True)
-    return F.when(known, F.col("_at") - last_known.over(_until_here()))
+    return f"({alpha!r}D / (power({(1 - alpha)!r}D, {rows}) + {alpha!r}D))"
 
 
 def with_factors(rows: DataFrame, spans: Sequence[int]) -> DataFrame:
-    """Adds the factors ``P`` to rows that have ``_at`` and ``_gap``.
+    """Adds ``_share_<span>`` and ``_factor_<span>`` (``c`` and ``P``) from ``_gap``.
 
-    Steps of one row are counted, so their factor is one exact power.
+    Steps of one row are counted, so their factor is one exact power; only the few
+    longer ones go through logarithms.
     """
-    logs = {}
-    for span in spans:
-        weight = step_weight(span, F.col("_gap"))
-        log = F.when(F.col("_gap") > 1, F.ln(weight / (weight + smoothing(span))))
-        logs[_log_name(span)] = F.sum(log).over(_so_far())
-    steps = F.count(F.when(F.col("_gap") == 1, 1)).over(_so_far())
-    rows = rows.withColumns({"_steps": steps, **logs})
-    return rows.withColumns({_factor_name(span): _factor(span) for span in spans}).drop(
-        *logs
-    )
-
-
-def _log_name(span: int) -> str:
-    return f"_log_{span}"
-
-
-def _factor_name(span: int) -> str:
-    return f"_factor_{span}"
-
+    shares, logs, factors = {}, {}, {}
+    for s in spans:
+        shares[f"_share_{s}"] = (
+            f"CASE WHEN _gap = 1 THEN {smoothing(s)!r}D "
+            f"WHEN _gap > 1 THEN {share(s, '_gap')} END"
+        )
+        logs[f"_log_{s}"] = f"sum(CASE WHEN _gap > 1 THEN ln(1 - _share_{s}) END) {SO_FAR}"
+        factors[f"_factor_{s}"] = (
+            f"power({(1 - smoothing(s))!r}D, _steps) * coalesce(exp(_log_{s}), 1.0D)"
+        )
+    steps = f"count(CASE WHEN _gap = 1 THEN 1 END) {SO_FAR}"
+    rows = add(add(rows, shares), {"_steps": steps, **logs})
+    return add(rows, factors)
 
-def _factor(span: int) -> Column:
-    long_steps = F.exp(F.coalesce(F.col(_log_name(span)), F.lit(0.0)))
-    return F.pow(F.lit(1 - smoothing(span)), F.col("_steps")) * long_steps
 
+def _term(span: int) -> str:
+    return f"_share_{span} * current_price / _factor_{span}"
 
-def _later_term(span: int) -> Column:
-    """``b / P`` of a known price that is not the first of its chunk."""
-    alpha = smoothing(span)
-    share = F.when(F.col("_gap") == 1, F.lit(alpha)).otherwise(
-        F.lit(alpha) / (step_weight(span, F.col("_gap")) + alpha)
-    )
-    return F.when(
-        F.col("_gap").isNotNull(),
-        share * F.col("current_price") / F.col(_factor_name(span)),
-    )
 
-
-def summary_columns(spans: Sequence[int]) -> list[Column]:
+def summary_columns(spans: Sequence[int]) -> dict[str, str]:
     """Aggregates that reduce one chunk to what the fold needs."""
-    known = _known()
-    columns = [
-        F.count(F.lit(1)).alias("_rows"),
-        F.min(F.when(known, F.col("_at"))).alias("_first_at"),
-        F.max(F.when(known, F.col("_at"))).alias("_last_at"),
-        F.min_by("current_price", F.when(known, F.col("_at"))).alias("_first_price"),
-    ]
-    for span in spans:
-        columns += [
-            F.min(_factor_name(span)).alias(_factor_name(span)),
-            F.coalesce(F.sum(_later_term(span)), F.lit(0.0)).alias(f"_terms_{span}"),
-        ]
+    at = known("_at")
+    columns = {
+        "_rows": "count(1)",
+        "_first_at": f"min({at})",
+        "_last_at": f"max({at})",
+        "_first_price": f"min_by(current_price, {at})",
+    }
+    for s in spans:
+        columns[f"_factor_{s}"] = f"min(_factor_{s})"
+        columns[f"_terms_{s}"] = f"coalesce(sum({_term(s)}), 0.0D)"
     return columns
 
 
-def _opening(span: int, old: Column, trailing: Column, at: Column, price: Column) -> Column:
-    """Average at the first known price of a chunk."""
-    return F.when(old.isNull(), price).otherwise(blend(span, old, trailing + at, price))
-
-
 def carry_fold(chunks: DataFrame, spans: Sequence[int], keep: Sequence[str]) -> DataFrame:
-    """Per chunk: ``keep``, the average before it and the rows since the last price.
+    """Per chunk: ``keep``, ``_carry_<span>`` and ``_open_<span>``.
 
-    One row per chunk goes in, so a symbol is at most a few thousand small structs.
+    The first is the average before the chunk, the second the one at its first
+    known price. One row per chunk goes in, so a symbol is at most a few thousand
+    small structs.
     """
-    fields = ["_rows", "_first_at", "_last_at", "_first_price"]
-    for span in spans:
-        fields += [_factor_name(span), f"_terms_{span}"]
-    ordered = F.sort_array(F.collect_list(F.struct(CHUNK, *fields, *keep)))
+    fields = [CHUNK, "_rows", "_first_at", "_last_at", "_first_price"]
+    for s in spans:
+        fields += [f"_factor_{s}", f"_terms_{s}"]
+    ordered = F.sort_array(F.collect_list(F.struct(*fields, *keep)))
     grouped = chunks.groupBy("symbol").agg(ordered.alias("_chunks"))
 
-    carried = ", ".join(
-        ["_trailing: bigint"] + [f"_carried_{span}: double" for span in spans]
-    )
-    start = F.struct(
-        F.array().cast(f"array<struct<{carried}>>").alias("carried"),
-        F.lit(0).cast("bigint").alias("trailing"),
-        *[F.lit(None).cast("double").alias(f"ema_{span}") for span in spans],
+    names = [f"{part}_{s}" for s in spans for part in ("_carry", "_open")]
+    entry_type = ", ".join(f"{name}: double" for name in names)
+    start = ", ".join(
+        [f"'done', cast(array() AS array<struct<{entry_type}>>)", "'trailing', 0L"]
+        + [f"'ema_{s}', cast(null AS double)" for s in spans]
     )
-
-    def step(state: Column, chunk: Column) -> Column:
-        has_price = chunk["_first_at"].isNotNull()
-        entry = F.struct(
-            state["trailing"].alias("_trailing"),
-            *[state[f"ema_{span}"].alias(f"_carried_{span}") for span in spans],
-        )
-        averages = []
-        for span in spans:
-            opening = _opening(
-                span,
-                state[f"ema_{span}"],
-                state["trailing"],
-                chunk["_first_at"],
-                chunk["_first_price"],
-            )
-            closing = chunk[_factor_name(span)] * (opening + chunk[f"_terms_{span}"])
-            average = F.when(has_price, closing).otherwise(state[f"ema_{span}"])
-            averages.append(average.alias(f"ema_{span}"))
-        trailing = F.when(has_price, chunk["_rows"] - chunk["_last_at"]).otherwise(
-            state["trailing"] + chunk["_rows"]
+    entry, averages = [], []
+    for s in spans:
+        old = f"state.ema_{s}"
+        weight = share(s, "(state.trailing + chunk._first_at)")
+        opening = (
+            f"coalesce({old} + {weight} * (chunk._first_price - {old}), chunk._first_price)"
         )
-        return F.struct(
-            F.concat(state["carried"], F.array(entry)).alias("carried"),
-            trailing.alias("trailing"),
+        closing = f"chunk._factor_{s} * ({opening} + chunk._terms_{s})"
+        entry += [f"'_carry_{s}', {old}", f"'_open_{s}', {opening}"]
+        averages.append(f"'ema_{s}', coalesce({closing}, {old})")
+    step = ", ".join(
+        [
+            f"'done', concat(state.done, array(named_struct({', '.join(entry)})))",
+            "'trailing', CASE WHEN chunk._first_at IS NOT NULL "
+            "THEN chunk._rows - chunk._last_at ELSE state.trailing + chunk._rows END",
             *averages,
-        )
-
-    folded = grouped.select(
-        "symbol", "_chunks", F.aggregate("_chunks", start, step)["carried"].alias("_in")
+        ]
+    )
+    fold = (
+        f"aggregate(_chunks, named_struct({start}), "
+        f"(state, chunk) -> named_struct({step})).done"
     )
-    pairs = folded.select("symbol", F.explode(F.arrays_zip("_chunks", "_in")).alias("p"))
-    return pairs.select(
+    pairs = grouped.selectExpr("symbol", f"explode(arrays_zip(_chunks, {fold})) AS p")
+    return pairs.selectExpr(
         "symbol",
-        *[F.col("p._chunks")[name].alias(name) for name in (CHUNK, *keep)],
-        F.col("p._in")["_trailing"].alias("_trailing"),
-        *[F.col("p._in")[f"_carried_{span}"].alias(f"_carried_{span}") for span in spans],
+        *[f"p._chunks.{name}" for name in (CHUNK, *keep)],
+        *[f"p.done.{name}" for name in names],
     )
 
 
+def carried_columns(spans: Sequence[int]) -> dict[str, str]:
+    """Spread the carried values from a chunk's halo rows over its own rows.
+
+    A symbol's first chunk has no halo; its average opens at its first price.
+    """
+    columns = {"_known_rows": f"count({known('1')}) {SO_FAR}"}
+    for s in spans:
+        opening = f"coalesce(_open_{s}, {known('current_price')})"
+        columns[f"_carried_{s}"] = f"first(_carry_{s}, true) {SO_FAR}"
+        columns[f"_opening_{s}"] = f"first({opening}, true) {SO_FAR}"
+    return columns
+
+
 def with_averages(rows: DataFrame, spans: Sequence[int]) -> DataFrame:
     """Adds ``ema_<span>`` to rows that have factors and carried values."""
-    sums = {}
-    for span in spans:
-        opening = _opening(
-            span,
-            F.col(f"_carried_{span}"),
-            F.col("_trailing"),
-            F.col("_at"),
-            F.col("current_price"),
-        )
-        is_first = _known() & F.col("_gap").isNull()
-        term = F.when(is_first, opening).otherwise(_later_term(span))
-        sums[f"_sum_{span}"] = F.sum(F.when(_known(), term)).over(_so_far())
-    rows = rows.withColumns(sums)
-    return rows.withColumns(
-        {
-            f"ema_{span}": F.coalesce(
-                F.col(_factor_name(span)) * F.col(f"_sum_{span}"),
-                F.col(f"_carried_{span}"),
-            )
-            for span in spans
-        }
-    ).drop(*sums)
+    sums = {f"_sum_{s}": f"sum({_term(s)}) {SO_FAR}" for s in spans}
+    averages = {
+        f"ema_{s}": f"CASE WHEN _known_rows > 0 "
+        f"THEN _factor_{s} * (_opening_{s} + coalesce(_sum_{s}, 0.0D)) "
+        f"ELSE _carried_{s} END"
+        for s in spans
+    }
+    return add(add(rows, sums), averages)

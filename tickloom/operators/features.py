@@ -4,26 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import ema
-from tickloom.operators.chunks import (
-    CHUNK,
-    HALO,
-    across_chunks,
-    chunk_of,
-    drop_halo,
-    rows_before,
-    within_chunk,
-)
-from tickloom.operators.returns import (
-    PRICE,
-    change_in_percent,
-    full_frame,
-    last_rows,
-    return_since,
-)
+from tickloom.operators.chunks import CHUNK, HALO, chunk_of, rows_before
+from tickloom.operators.ema import BEFORE, ORDERED, SO_FAR, add
 from tickloom.schemas import FULL_STOCK_CALCULATIONS
 
 MEAN_SIZES = (10, 30)
@@ -31,56 +17,75 @@ VOLATILITY_SIZE = 30
 SPANS = (10, 30)
 WARM_UP = 30
 
+CHUNKS_BEFORE = (
+    f"OVER (PARTITION BY symbol ORDER BY {CHUNK} "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+)
+CHUNKS_SO_FAR = (
+    f"OVER (PARTITION BY symbol ORDER BY {CHUNK} "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+)
+
 
 def _chunk_carries(rows: DataFrame, back: int, spans: Sequence[int]) -> DataFrame:
     """Halo rows of every chunk, each with the values carried into the chunk.
 
-    ``_seed`` is the last known price at a halo row, ``_base`` the first price of
-    the symbol, ``_carried_<span>`` the averages before the chunk.
+    ``_seed`` is the last known price at a halo row, ``_start`` the first price of
+    the symbol, ``_carry_<span>`` and ``_open_<span>`` belong to the averages.
     """
-    so_far = within_chunk().rowsBetween(Window.unboundedPreceding, 0)
-    local = (
-        rows.select("symbol", CHUNK, "date", PRICE)
-        .withColumn(HALO, F.lit(False))
-        .withColumns(
-            {
-                "_at": ema.position(),
-                "_seed": F.last(PRICE, ignorenulls=True).over(so_far),
-                "_size": F.count(F.lit(1)).over(Window.partitionBy("symbol", CHUNK)),
-            }
-        )
-        .withColumn("_gap", ema.gap())
+    local = rows.selectExpr("symbol", CHUNK, "date", "current_price", f"false AS {HALO}")
+    local = add(
+        local,
+        {
+            "_at": ema.POSITION,
+            "_seed": f"last(current_price, true) {SO_FAR}",
+            "_size": f"count(1) OVER (PARTITION BY symbol, {CHUNK})",
+        },
     )
-    local = ema.with_factors(local, spans)
-    in_tail = F.col("_size") - F.col("_at") < back
-    tail_row = F.when(in_tail, F.struct("date", PRICE, "_seed"))
+    local = ema.with_factors(add(local, {"_gap": ema.GAP}), spans)
+    aggregates = {
+        "_tail": f"sort_array(collect_list(CASE WHEN _size - _at < {back} "
+        "THEN struct(date, current_price, _seed) END))",
+        "_first_row_price": "min_by(current_price, _at)",
+        "_last_known": "max_by(_seed, _at)",
+        **ema.summary_columns(spans),
+    }
     chunks = local.groupBy("symbol", CHUNK).agg(
-        F.sort_array(F.collect_list(tail_row)).alias("_tail"),
-        F.min_by(PRICE, "_at").alias("_first_row_price"),
-        F.max_by("_seed", "_at").alias("_last_known"),
-        *ema.summary_columns(spans),
+        *[F.expr(text).alias(name) for name, text in aggregates.items()]
     )
-    earlier = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
-    up_to_here = across_chunks().rowsBetween(Window.unboundedPreceding, 0)
-    chunks = chunks.withColumns(
+    chunks = add(
+        chunks,
         {
-            "_known_before": F.last("_last_known", ignorenulls=True).over(earlier),
-            "_base": F.first("_first_row_price").over(up_to_here),
-        }
-    ).withColumn(
-        "_tail",
-        F.transform(
-            "_tail",
-            lambda row: F.struct(
-                row["date"].alias("date"),
-                row[PRICE].alias(PRICE),
-                F.coalesce(row["_seed"], F.col("_known_before")).alias("_seed"),
-            ),
-        ),
+            "_known_before": f"last(_last_known, true) {CHUNKS_BEFORE}",
+            "_start": f"first(_first_row_price) {CHUNKS_SO_FAR}",
+        },
+    )
+    seeded = (
+        "transform(_tail, r -> struct(r.date, r.current_price, "
+        "coalesce(r._seed, _known_before) AS _seed))"
+    )
+    chunks = add(chunks, {"_seeded": seeded})
+    chunks = chunks.withColumn("_before", rows_before("_seeded", back))
+    carried = ema.carry_fold(chunks, spans, keep=["_start", "_before"])
+    return carried.selectExpr("*", "inline(_before)").drop("_before")
+
+
+def _with_carries(prices: DataFrame, back: int, spans: Sequence[int]) -> DataFrame:
+    """Price rows cut into chunks, with halo rows and what they carry."""
+    rows = prices.withColumn(CHUNK, chunk_of(days=ema.chunk_days(spans)))
+    halo = _chunk_carries(rows, back, spans)
+    return rows.withColumn(HALO, F.lit(False)).unionByName(
+        halo.withColumn(HALO, F.lit(True)), allowMissingColumns=True
     )
-    chunks = chunks.withColumn("_before", rows_before("_tail", back))
-    carried = ema.carry_fold(chunks, spans, keep=["_base", "_before"])
-    return carried.select("*", F.inline("_before")).drop("_before")
+
+
+def _percent(now: str, before: str) -> str:
+    return f"(try_divide({now}, {before}) - 1) * 100"
+
+
+def _full(figure: str, value: str, size: int) -> str:
+    frame = f"OVER ({ORDERED} ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({value}) {frame} >= {size} THEN {figure}({value}) {frame} END"
 
 
 def add_features(
@@ -92,69 +97,59 @@ def add_features(
 ) -> DataFrame:
     """Returns, rolling means, volatility and averages; warm-up rows left out.
 
-    ``prices`` has one row per (symbol, date). Its other columns are kept.
+    ``prices`` has one row per (symbol, date). Its other columns are kept. The
+    single-figure operators in ``returns`` give the same columns one at a time.
     """
-    rows = prices.withColumn(CHUNK, chunk_of(days=ema.chunk_days(spans)))
     back = max(warm_up, volatility_size, *mean_sizes)
-    halo = _chunk_carries(rows, back, spans).withColumn(HALO, F.lit(True))
-    rows = rows.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
-
-    so_far = within_chunk().rowsBetween(Window.unboundedPreceding, 0)
-    until_here = within_chunk().rowsBetween(Window.unboundedPreceding, -1)
-    known_source = F.when(F.col(HALO), F.col("_seed")).otherwise(F.col(PRICE))
-    base_source = F.when(F.col(HALO), F.col("_base")).otherwise(F.col(PRICE))
-    carried = ["_trailing", *[f"_carried_{span}" for span in spans]]
-    rows = rows.withColumns(
+    known_price = f"CASE WHEN {HALO} THEN _seed ELSE current_price END"
+    first_price = f"CASE WHEN {HALO} THEN _start ELSE current_price END"
+    rows = add(
+        _with_carries(prices, back, spans),
         {
-            "_at": ema.position(),
-            "_known": F.last(known_source, ignorenulls=True).over(so_far),
-            "_known_before": F.last(known_source, ignorenulls=True).over(until_here),
-            "_base": F.first(base_source).over(so_far),
-            "_earlier": F.count(F.lit(1)).over(within_chunk().rowsBetween(-back, -1)),
-            **{c: F.first(c, ignorenulls=True).over(so_far) for c in carried},
-            **{
-                f"ma_{size}_day": full_frame(F.avg(PRICE), F.col(PRICE), last_rows(size), size)
-                for size in mean_sizes
-            },
-        }
+            "_at": ema.POSITION,
+            "_known": f"last({known_price}, true) {SO_FAR}",
+            "_known_before": f"last({known_price}, true) {BEFORE}",
+            "_base": f"first({first_price}) {SO_FAR}",
+            "_earlier": f"count(1) OVER ({ORDERED} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)",
+            **ema.carried_columns(spans),
+            **{f"ma_{n}_day": _full("avg", "current_price", n) for n in mean_sizes},
+        },
     )
-    rows = rows.withColumns(
+    rows = add(
+        rows,
         {
-            "percent_change": change_in_percent(F.col("_known"), F.col("_known_before")),
-            "cumulative_return": return_since(F.col(PRICE), F.col("_base")),
-        }
+            "percent_change": f"rint({_percent('_known', '_known_before')} * 100) / 100",
+            "cumulative_return": _percent("current_price", "_base"),
+        },
     )
-    change = F.col("percent_change")
-    deviation = F.stddev_samp(change)
-    rows = rows.withColumns(
+    volatility = f"volatility_{volatility_size}_day"
+    rows = add(
+        rows,
         {
-            f"volatility_{volatility_size}_day": full_frame(
-                deviation, change, last_rows(volatility_size), volatility_size
-            ),
-            "_gap": ema.gap(),
-        }
+            volatility: _full("stddev_samp", "percent_change", volatility_size),
+            "_gap": ema.GAP,
+        },
     )
     rows = ema.with_averages(ema.with_factors(rows, spans), spans)
-    rows = drop_halo(rows.where(F.col("_earlier") >= warm_up))
-    return rows.select(*[c for c in rows.columns if not c.startswith("_")])
+    return rows.where(f"NOT {HALO} AND _earlier >= {warm_up}").select(
+        *prices.columns,
+        "percent_change",
+        "cumulative_return",
+        *[f"ma_{n}_day" for n in mean_sizes],
+        volatility,
+        *[f"ema_{s}" for s in spans],
+    )
 
 
 def exponential_averages(prices: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
     """Adds ``ema_<span>`` for each span and nothing else."""
-    rows = prices.withColumn(CHUNK, chunk_of(days=ema.chunk_days(spans)))
-    halo = _chunk_carries(rows, 1, spans).withColumn(HALO, F.lit(True))
-    halo = halo.drop("_seed", "_base")
-    rows = rows.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    so_far = within_chunk().rowsBetween(Window.unboundedPreceding, 0)
-    carried = ["_trailing", *[f"_carried_{span}" for span in spans]]
-    rows = rows.withColumns(
-        {
-            "_at": ema.position(),
-            **{c: F.first(c, ignorenulls=True).over(so_far) for c in carried},
-        }
-    ).withColumn("_gap", ema.gap())
-    rows = drop_halo(ema.with_averages(ema.with_factors(rows, spans), spans))
-    return rows.select(*prices.columns, *[f"ema_{span}" for span in spans])
+    rows = add(
+        _with_carries(prices, 1, spans),
+        {"_at": ema.POSITION, **ema.carried_columns(spans)},
+    )
+    rows = ema.with_factors(add(rows, {"_gap": ema.GAP}), spans)
+    rows = ema.with_averages(rows, spans).where(f"NOT {HALO}")
+    return rows.select(*prices.columns, *[f"ema_{s}" for s in spans])
 
 
 def features_table(prices: DataFrame) -> DataFrame:
