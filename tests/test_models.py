@@ -175,8 +175,8 @@ def daily_config(tmp_path, **more):
     )
 
 
-@pytest.mark.parametrize("symbols", [(), ("AAPL", "MSFT")])
-def test_daily_chain(spark, tmp_path, symbols):
+@pytest.mark.parametrize("symbols, since", [((), None), (("AAPL", "MSFT"), day(91))])
+def test_daily_chain(spark, tmp_path, symbols, since):
     config = daily_config(tmp_path, symbols=symbols)
     today = day(91)
     assert today.weekday() < 5
@@ -190,16 +190,23 @@ def test_daily_chain(spark, tmp_path, symbols):
     jobs.run_ingest(spark, config, today)
     jobs.run_features(spark, config)
     assert jobs.run_train(spark, config).count() == 2
-    assert jobs.run_daily(spark, config, today)
+    jobs.run_predict(spark, config)
+    tomorrow = html.replace("101", "102")
+    spark.createDataFrame(
+        [("AAPL", 200, at + datetime.timedelta(days=1), tomorrow)],
+        "symbol string, status int, fetched_at timestamp_ntz, html string",
+    ).write.mode("append").parquet(config.pages)
+    today += datetime.timedelta(days=1)
+    assert jobs.run_daily(spark, config, today, since)
 
     def size(table):
         return read_table(spark, config.path(table), TABLES[table]).count()
 
     counts = {t: size(t) for t in TABLES}
     assert counts == {
-        "stock_prices": 181,
-        "full_stock_calculations": 121,
-        "predicted_stock_prices": 119,
+        "stock_prices": 182,
+        "full_stock_calculations": 122,
+        "predicted_stock_prices": 120,
         "model_eval": 2,
     }
     assert jobs.run_daily(spark, config, today)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars as S
-from tickloom.functions.html import element_text
+from tickloom.functions.html import element_markup, markup_text
 
 
 def values(spark, type_name, inputs, make):
@@ -80,7 +80,7 @@ def test_address(spark):
     ],
 )
 def test_element_by_attribute(spark, html, expected):
-    pick = lambda c: element_text(c, "span", "data-testid", "qsp-price")
+    pick = lambda c: markup_text(element_markup(c, "span", "data-testid", "qsp-price"))
     assert values(spark, "string", [html], pick) == [expected]
 
 
@@ -93,5 +93,5 @@ def test_element_by_attribute(spark, html, expected):
     ],
 )
 def test_element_by_class_word(spark, html, expected):
-    pick = lambda c: element_text(c, "h1", "class", "yf-xxbei9", token=True)
+    pick = lambda c: markup_text(element_markup(c, "h1", "class", "yf-xxbei9", token=True))
     assert values(spark, "string", [html], pick) == [expected]

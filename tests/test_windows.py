@@ -119,6 +119,17 @@ def test_features_match_pandas_whatever_the_chunk(spark, monkeypatch, chunk_leng
     compare(add_features(rows), reference_features(prices))
 
 
+def test_features_since_a_day_are_the_same_rows(spark):
+    prices = random_prices(11)
+    rows = spark.createDataFrame(
+        [(s, d, None if p != p else p) for s, d, p in prices.itertuples(index=False)],
+        "symbol string, date date, current_price double",
+    )
+    since = datetime.date(1967, 3, 1)
+    wanted = reference_features(prices)
+    compare(add_features(rows, since=since), wanted[wanted["date"] >= since])
+
+
 def test_single_operators_match_pandas_on_sparse_chunks(spark):
     prices = random_prices(3)
     rows = spark.createDataFrame(

@@ -43,7 +43,7 @@ def strip(text: Column | str) -> Column:
 def parse_price(text: Column | str) -> Column:
     """Text to double; thousands separators go, unreadable text becomes null."""
     bare = strip(F.replace(_col(text), F.lit(","), F.lit("")))
-    number = F.when(bare.rlike(NUMBER_TEXT), bare).try_cast("double")
+    number = F.regexp_extract(bare, NUMBER_TEXT, 0).try_cast("double")
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 

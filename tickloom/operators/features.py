@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -70,10 +71,26 @@ def _chunk_carries(rows: DataFrame, back: int, spans: Sequence[int]) -> DataFram
     return carried.selectExpr("*", "inline(_before)").drop("_before")
 
 
-def _with_carries(prices: DataFrame, back: int, spans: Sequence[int]) -> DataFrame:
-    """Price rows cut into chunks, with halo rows and what they carry."""
-    rows = prices.withColumn(CHUNK, chunk_of(days=ema.chunk_days(spans)))
+def _with_carries(
+    prices: DataFrame,
+    back: int,
+    spans: Sequence[int],
+    since: datetime.date | None = None,
+) -> DataFrame:
+    """Price rows cut into chunks, with halo rows and what they carry.
+
+    With ``since`` only the chunks that reach that day are kept. The chunks before
+    are still summed up, which takes three columns of them.
+    """
+    days = ema.chunk_days(spans)
+    rows = prices.withColumn(CHUNK, chunk_of(days=days))
     halo = _chunk_carries(rows, back, spans)
+    if since is not None:
+        epoch = datetime.date(1970, 1, 1)
+        first = (since - epoch).days // days
+        begin = epoch + datetime.timedelta(days=first * days)
+        rows = rows.where(F.col("date") >= F.lit(begin))
+        halo = halo.where(F.col(CHUNK) >= first)
     return rows.withColumn(HALO, F.lit(False)).unionByName(
         halo.withColumn(HALO, F.lit(True)), allowMissingColumns=True
     )
@@ -94,17 +111,19 @@ def add_features(
     mean_sizes: Sequence[int] = MEAN_SIZES,
     volatility_size: int = VOLATILITY_SIZE,
     spans: Sequence[int] = SPANS,
+    since: datetime.date | None = None,
 ) -> DataFrame:
     """Returns, rolling means, volatility and averages; warm-up rows left out.
 
     ``prices`` has one row per (symbol, date). Its other columns are kept. The
     single-figure operators in ``returns`` give the same columns one at a time.
+    ``since`` leaves out rows before that day; the rows that stay are the same.
     """
     back = max(warm_up, volatility_size, *mean_sizes)
     known_price = f"CASE WHEN {HALO} THEN _seed ELSE current_price END"
     first_price = f"CASE WHEN {HALO} THEN _start ELSE current_price END"
     rows = add(
-        _with_carries(prices, back, spans),
+        _with_carries(prices, back, spans, since),
         {
             "_at": ema.POSITION,
             "_known": f"last({known_price}, true) {SO_FAR}",
@@ -131,7 +150,10 @@ def add_features(
         },
     )
     rows = ema.with_averages(ema.with_factors(rows, spans), spans)
-    return rows.where(f"NOT {HALO} AND _earlier >= {warm_up}").select(
+    rows = rows.where(f"NOT {HALO} AND _earlier >= {warm_up}")
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since))
+    return rows.select(
         *prices.columns,
         "percent_change",
         "cumulative_return",
@@ -152,6 +174,6 @@ def exponential_averages(prices: DataFrame, spans: Sequence[int] = SPANS) -> Dat
     return rows.select(*prices.columns, *[f"ema_{s}" for s in spans])
 
 
-def features_table(prices: DataFrame) -> DataFrame:
+def features_table(prices: DataFrame, since: datetime.date | None = None) -> DataFrame:
     """``full_stock_calculations`` from ``stock_prices``."""
-    return add_features(prices).select(*FULL_STOCK_CALCULATIONS.names)
+    return add_features(prices, since=since).select(*FULL_STOCK_CALCULATIONS.names)

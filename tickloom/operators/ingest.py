@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.html import element_text
+from tickloom.functions.html import element_markup, markup_text
 from tickloom.functions.scalars import (
     is_after_close,
     local_time,
@@ -89,36 +89,41 @@ def history_prices(
     return clean_prices(unpivot_prices(wide), names)
 
 
+def extract_page_text(pages: DataFrame, elements: Mapping[str, Mapping]) -> DataFrame:
+    """Keeps the page's columns but its source and adds one text per element."""
+    kept = [c for c in pages.columns if c != "html"]
+    found = pages.select(
+        *kept,
+        *[element_markup(F.col("html"), **e).alias(name) for name, e in elements.items()],
+    )
+    return found.select(*kept, *[markup_text(F.col(name)).alias(name) for name in elements])
+
+
+QUOTE_ELEMENTS = {
+    "_price": {"tag": "span", "attribute": "data-testid", "value": "qsp-price"},
+    "_open": {"tag": "fin-streamer", "attribute": "data-field", "value": "regularMarketOpen"},
+    "_heading": {"tag": "h1", "attribute": "class", "value": "yf-xxbei9", "token": True},
+}
+
+
 def extract_quotes(pages: DataFrame) -> DataFrame:
     """One price row per page that was fetched well after the close.
 
     ``pages`` has symbol, status, fetched_at (UTC) and html. A failed fetch drops
     that page only.
     """
-    fetched = F.col("status").between(200, 399)
-    html = F.col("html")
-    price = element_text(html, "span", "data-testid", "qsp-price")
-    opening = element_text(html, "fin-streamer", "data-field", "regularMarketOpen")
-    heading = element_text(html, "h1", "class", "yf-xxbei9", token=True)
-    return pages.where(fetched & is_after_close("fetched_at")).select(
+    usable = F.col("status").between(200, 399) & is_after_close("fetched_at")
+    texts = extract_page_text(pages.where(usable), QUOTE_ELEMENTS)
+    return texts.select(
         "symbol",
-        parse_name(heading).alias("name"),
+        parse_name("_heading").alias("name"),
         F.to_date(local_time("fetched_at")).alias("date"),
-        parse_price(price).alias("current_price"),
-        parse_price(opening).alias("open_price"),
-        F.col("fetched_at"),
+        parse_price("_price").alias("current_price"),
+        parse_price("_open").alias("open_price"),
+        "fetched_at",
     )
 
 
-def extract_page_text(pages: DataFrame, elements: Mapping[str, Mapping]) -> DataFrame:
-    """Keeps the page's columns but its source and adds one text per element."""
-    texts = [
-        element_text(F.col("html"), **element).alias(name)
-        for name, element in elements.items()
-    ]
-    return pages.select(*[c for c in pages.columns if c != "html"], *texts)
-
-
 def union_history_current(history: DataFrame, current: DataFrame) -> DataFrame:
     """History, then today's rows; columns by name, absent ones null.
 
