@@ -26,7 +26,7 @@ HEADLINE = (
     "quote_extract",
     "page_extract",
     "history_then_current",
-    "insert_absent",
+    "insert_if_absent",
     "model_metrics",
     "residual_outliers",
     "train_test_split",

@@ -228,7 +228,7 @@ SQL = {
            rmse, mse, directional_accuracy FROM metrics""",
         *COMPARED, metrics=METRICS,
     ),
-    "insert_absent": sql(
+    "insert_if_absent": sql(
         """SELECT * FROM early UNION ALL
            SELECT concat('S', l_suppkey), CAST(l_shipdate AS DATE),
                   arg_min(l_extendedprice, l_orderkey * 10 + l_linenumber)
@@ -345,15 +345,15 @@ SQL = {
         f"SELECT symbol, date, current_price, percent_change, {ROUNDED_FIGURES} FROM featured",
         "daily", "gappy", **feature_fragments("gappy"),
     ),
-    "round2_price": f"""SELECT l_orderkey, l_linenumber,
+    "round2": f"""SELECT l_orderkey, l_linenumber,
         {r('l_extendedprice * (1 - l_discount)', 2)} AS net_price FROM lineitem""",
-    "price_from_text": """SELECT o_orderkey, CASE o_orderkey % 8
+    "parse_price": """SELECT o_orderkey, CASE o_orderkey % 8
         WHEN 1 THEN NULL WHEN 3 THEN NULL WHEN 5 THEN NULL
         WHEN 2 THEN CAST(concat(CAST(o_totalprice AS VARCHAR), 'e1') AS DOUBLE)
         WHEN 4 THEN -o_totalprice ELSE o_totalprice END AS price FROM orders""",
-    "name_from_heading": """SELECT s_suppkey,
+    "parse_name": """SELECT s_suppkey,
         CASE WHEN s_suppkey % 5 <> 0 THEN s_name ELSE 'N/A' END AS name FROM supplier""",
-    "page_address": """SELECT s_suppkey,
+    "quote_url": """SELECT s_suppkey,
         concat('https://finance.yahoo.com/quote/S', s_suppkey, '/') AS url FROM supplier""",
     "scatter_points": sql(
         f"""SELECT symbol, date, y AS actual, {r('p')} AS predicted FROM compared

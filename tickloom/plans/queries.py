@@ -49,7 +49,8 @@ TREES, DEPTH = 10, 6
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    """Register under the function's name, less a trailing underscore."""
+    QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -159,7 +160,7 @@ def upsert_eval(spark, folder):
 
 
 @query
-def insert_absent(spark, folder):
+def insert_if_absent_(spark, folder):
     existing = frames.early_series(spark, folder)
     # Each line is a row of its own, so most keys of the batch repeat.
     batch = frames.load(spark, folder, "lineitem").select(
@@ -384,7 +385,7 @@ def features(spark, folder):
 
 
 @query
-def round2_price(spark, folder):
+def round2_(spark, folder):
     lines = frames.load(spark, folder, "lineitem")
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return lines.select("l_orderkey", "l_linenumber", round2(net).alias("net_price"))
@@ -407,13 +408,13 @@ def price_text():
 
 
 @query
-def price_from_text(spark, folder):
+def parse_price_(spark, folder):
     orders = frames.load(spark, folder, "orders")
     return orders.select("o_orderkey", parse_price(price_text()).alias("price"))
 
 
 @query
-def name_from_heading(spark, folder):
+def parse_name_(spark, folder):
     suppliers = frames.load(spark, folder, "supplier")
     heading = F.when(
         F.col("s_suppkey") % 5 != 0,
@@ -423,7 +424,7 @@ def name_from_heading(spark, folder):
 
 
 @query
-def page_address(spark, folder):
+def quote_url_(spark, folder):
     suppliers = frames.load(spark, folder, "supplier")
     return suppliers.select(
         "s_suppkey", quote_url(frames.symbol_of("s_suppkey")).alias("url")
