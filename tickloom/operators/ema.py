@@ -71,11 +71,13 @@ def share(span: int, rows: str) -> str:
     return f"({alpha!r}D / (power({(1 - alpha)!r}D, {rows}) + {alpha!r}D))"
 
 
-def with_factors(rows: DataFrame, spans: Sequence[int]) -> DataFrame:
+def with_factors(
+    rows: DataFrame, spans: Sequence[int], also: Mapping[str, str] | None = None
+) -> DataFrame:
     """Adds ``_share_<span>`` and ``_factor_<span>`` (``c`` and ``P``) from ``_gap``.
 
     Steps of one row are counted, so their factor is one exact power; only the few
-    longer ones go through logarithms.
+    longer ones go through logarithms. ``also`` are window columns to add on the way.
     """
     shares, logs, factors = {}, {}, {}
     for s in spans:
@@ -88,7 +90,7 @@ def with_factors(rows: DataFrame, spans: Sequence[int]) -> DataFrame:
             f"power({(1 - smoothing(s))!r}D, _steps) * coalesce(exp(_log_{s}), 1.0D)"
         )
     steps = f"count(CASE WHEN _gap = 1 THEN 1 END) {SO_FAR}"
-    rows = add(add(rows, shares), {"_steps": steps, **logs})
+    rows = add(add(rows, shares), {"_steps": steps, **logs, **(also or {})})
     return add(rows, factors)
 
 

@@ -100,9 +100,13 @@ def _percent(now: str, before: str) -> str:
     return f"(try_divide({now}, {before}) - 1) * 100"
 
 
-def _full(figure: str, value: str, size: int) -> str:
-    frame = f"OVER ({ORDERED} ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN count({value}) {frame} >= {size} THEN {figure}({value}) {frame} END"
+def _over_last(figure: str, size: int) -> str:
+    return f"{figure} OVER ({ORDERED} ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
+
+
+def _before_frame(running: str, size: int) -> str:
+    """A running count as it stood just before a frame of ``size`` rows."""
+    return f"lag({running}, {size}, 0L) OVER ({ORDERED})"
 
 
 def add_features(
@@ -122,16 +126,19 @@ def add_features(
     back = max(warm_up, volatility_size, *mean_sizes)
     known_price = f"CASE WHEN {HALO} THEN _seed ELSE current_price END"
     first_price = f"CASE WHEN {HALO} THEN _start ELSE current_price END"
+    # Values inside a frame are the difference of two running counts. Counting them
+    # frame by frame would visit every row of the frame again.
     rows = add(
         _with_carries(prices, back, spans, since),
         {
             "_at": ema.POSITION,
+            "_nth": f"row_number() OVER ({ORDERED})",
             "_known": f"last({known_price}, true) {SO_FAR}",
             "_known_before": f"last({known_price}, true) {BEFORE}",
             "_base": f"first({first_price}) {SO_FAR}",
-            "_earlier": f"count(1) OVER ({ORDERED} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)",
+            "_prices": f"count(current_price) {SO_FAR}",
             **ema.carried_columns(spans),
-            **{f"ma_{n}_day": _full("avg", "current_price", n) for n in mean_sizes},
+            **{f"_mean_{n}": _over_last("avg(current_price)", n) for n in mean_sizes},
         },
     )
     rows = add(
@@ -141,16 +148,31 @@ def add_features(
             "cumulative_return": _percent("current_price", "_base"),
         },
     )
-    volatility = f"volatility_{volatility_size}_day"
     rows = add(
         rows,
         {
-            volatility: _full("stddev_samp", "percent_change", volatility_size),
             "_gap": ema.GAP,
+            "_changes": f"count(percent_change) {SO_FAR}",
+            "_deviation": _over_last("stddev_samp(percent_change)", volatility_size),
+            **{f"_prices_{n}": _before_frame("_prices", n) for n in mean_sizes},
+        },
+    )
+    changes_before = {"_changes_before": _before_frame("_changes", volatility_size)}
+    rows = ema.with_averages(ema.with_factors(rows, spans, changes_before), spans)
+    volatility = f"volatility_{volatility_size}_day"
+    rows = add(
+        rows,
+        {
+            volatility: f"CASE WHEN _changes - _changes_before >= {volatility_size} "
+            "THEN _deviation END",
+            **{
+                f"ma_{n}_day": f"CASE WHEN _prices - _prices_{n} >= {n} THEN _mean_{n} END"
+                for n in mean_sizes
+            },
         },
     )
-    rows = ema.with_averages(ema.with_factors(rows, spans), spans)
-    rows = rows.where(f"NOT {HALO} AND _earlier >= {warm_up}")
+    # Halo rows count here: a chunk has as many as come before it, up to ``back``.
+    rows = rows.where(f"NOT {HALO} AND _nth > {warm_up}")
     if since is not None:
         rows = rows.where(F.col("date") >= F.lit(since))
     return rows.select(

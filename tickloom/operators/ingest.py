@@ -22,7 +22,7 @@ from tickloom.schemas import STOCK_PRICES
 ARRIVAL = "_arrival"
 LOOKUP_SALTS = 16
 
-# Company names of the seven symbols the reference data covers.
+# Company names of the seven symbols in the usual history file.
 COMPANY_NAMES = {
     "AAPL": "Apple Inc.",
     "AMZN": "Amazon.com, Inc.",

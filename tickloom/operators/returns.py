@@ -131,12 +131,14 @@ def volatility(prices: DataFrame, size: int = 30, into: str = "volatility_30_day
 
 
 def skip_first(rows: DataFrame, count: int) -> DataFrame:
-    """All but the first ``count`` rows of each symbol."""
-    marked = with_halo(rows.withColumn("_one", F.lit(1)), ["_one"], back=count)
-    earlier = within_chunk().rowsBetween(-count, -1)
-    numbered = marked.withColumn("_earlier", F.count("_one").over(earlier))
-    kept = numbered.where(F.col("_earlier") >= count)
-    return drop_halo(kept).drop("_one", "_earlier")
+    """All but the first ``count`` rows of each symbol.
+
+    Halo rows are counted: a chunk has as many as come before it, up to ``count``.
+    """
+    numbered = with_halo(rows, [], back=count).withColumn(
+        "_nth", F.row_number().over(within_chunk())
+    )
+    return drop_halo(numbered.where(F.col("_nth") > count)).drop("_nth")
 
 
 def skip_head(rows: DataFrame, count: int) -> DataFrame:
