@@ -84,11 +84,13 @@ def page_extract(spark, folder):
     return ingest.extract_page_text(frames.load(spark, folder, "pages"), PAGE_ELEMENTS)
 
 
-def stored_twice(spark, first: DataFrame, second: DataFrame, table: str) -> DataFrame:
+def stored_twice(
+    spark, first: DataFrame, second: DataFrame, table: str, unique: bool = True
+) -> DataFrame:
     """Two batches into a new table, then the table."""
     path = scratch_path(spark, table)
-    insert_if_absent(spark, first, TABLES[table], path)
-    insert_if_absent(spark, second, TABLES[table], path)
+    insert_if_absent(spark, first, TABLES[table], path, unique=unique)
+    insert_if_absent(spark, second, TABLES[table], path, unique=unique)
     return read_table(spark, path, TABLES[table])
 
 
@@ -98,7 +100,7 @@ def sink_prices(spark, folder):
         frames.early_series(spark, folder), frames.names(spark, folder)
     )
     second = ingest.clean_prices(frames.series(spark, folder), frames.names(spark, folder))
-    return stored_twice(spark, first, second, "stock_prices")
+    return stored_twice(spark, first, second, "stock_prices", unique=False)
 
 
 @query
