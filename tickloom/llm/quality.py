@@ -27,51 +27,50 @@ MEASURES = (
 )
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside windows of eight that are found twice or more in the text."""
-
-    def covered(windows: Column) -> Column:
-        placed = F.array_sort(
-            F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+def _windows(words: Column) -> Column:
+    """Hashes of all windows of eight words: pairs, pairs of pairs, and once more."""
+
+    def joined(hashes: Column, apart: int) -> Column:
+        size = F.size(hashes) - apart
+        return F.zip_with(
+            F.slice(hashes, F.lit(1), size),
+            F.slice(hashes, F.lit(1 + apart), size),
+            lambda x, y: F.xxhash64(x, y),
         )
 
-        def repeated(s: Column) -> Column:
-            def twice(e: Column, j: Column) -> Column:
-                before, after = F.get(s, j - 1), F.get(s, j + 1)
-                return F.coalesce(before["h"] == e["h"], F.lit(False)) | F.coalesce(
-                    after["h"] == e["h"], F.lit(False)
-                )
-
-            return F.array_sort(F.transform(F.filter(s, twice), lambda e: e["i"]))
-
-        def union(starts: Column) -> Column:
-            steps = F.transform(
-                starts,
-                lambda x, j: F.least(
-                    F.lit(WINDOW), F.coalesce(F.get(starts, j + 1) - x, F.lit(WINDOW))
-                ),
+    def eights(hashes: Column) -> Column:
+        return let(let(joined(hashes, 1), lambda h: joined(h, 2)), lambda h: joined(h, 4))
+
+    none = F.array().cast("array<bigint>")
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    return let(hashed, lambda h: F.when(F.size(h) >= WINDOW, eights(h)).otherwise(none))
+
+
+def _covered(windows: Column) -> Column:
+    """Words inside windows that are found twice or more, first ones included."""
+    placed = F.array_sort(
+        F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    )
+
+    def repeated(s: Column) -> Column:
+        def twice(e: Column, j: Column) -> Column:
+            before, after = F.get(s, j - 1), F.get(s, j + 1)
+            return F.coalesce(before["h"] == e["h"], F.lit(False)) | F.coalesce(
+                after["h"] == e["h"], F.lit(False)
             )
-            return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-        return let(let(placed, repeated), union)
+        return F.array_sort(F.transform(F.filter(s, twice), lambda e: e["i"]))
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)),
+    def union(starts: Column) -> Column:
+        steps = F.transform(
+            starts,
+            lambda x, j: F.least(
+                F.lit(WINDOW), F.coalesce(F.get(starts, j + 1) - x, F.lit(WINDOW))
+            ),
         )
+        return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def count(found: Column) -> Column:
-        repeats = F.size(F.array_distinct(found)) < F.size(found)
-        return F.when(repeats, covered(found)).otherwise(F.lit(0).cast("long"))
-
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return let(
-        hashed,
-        lambda h: F.when(F.size(h) >= WINDOW, let(windows(h), count)).otherwise(
-            F.lit(0).cast("long")
-        ),
-    )
+    return let(let(placed, repeated), union)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -82,7 +81,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     inside one text only.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    bare = F.translate(body, "\x20\t\n\x0b\x0c\r", "")
+    plain = F.regexp_replace(body, f"[{SYMBOLS}]+", "")
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
     def all_measures(w: Column) -> Column:
@@ -90,20 +89,22 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             lines,
             lambda x: F.struct(
                 F.size(w).cast("long").alias("n_words"),
-                F.length(bare).cast("long").alias("word_chars"),
-                (F.length(body) - F.length(F.translate(body, SYMBOLS, "")))
-                .cast("long")
-                .alias("n_symbols"),
+                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                (F.length(body) - F.length(plain)).cast("long").alias("n_symbols"),
                 F.size(x).cast("long").alias("n_lines"),
                 (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-                _repeat_words(w).alias("n_repeat_words"),
+                _windows(w).alias("windows"),
             ),
         )
 
     # One struct out of one expression: the planner cannot take it apart and compute
     # the words again for every measure.
     found = docs.withColumn("_measures", let(words_of(body), all_measures))
-    found = found.withColumns({m: F.col("_measures")[m] for m in MEASURES}).drop("_measures")
+    windows = F.col("_measures")["windows"]
+    repeats = F.size(F.array_distinct(windows)) < F.size(windows)
+    counted = F.when(repeats, _covered(windows)).otherwise(F.lit(0).cast("long"))
+    plain_measures = {m: F.col("_measures")[m] for m in MEASURES if m != "n_repeat_words"}
+    found = found.withColumns({**plain_measures, "n_repeat_words": counted}).drop("_measures")
     n = F.col("n_words")
     found = found.withColumns(
         {
