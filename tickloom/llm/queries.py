@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, mixing, quality, sharding
+from tickloom.llm import bpe, chat, mixing, quality, sharding, token_files
 from tickloom.llm.common import load, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SHARDS = 16
+END_ID = 0
 
 
 def query(run: Query) -> Query:
@@ -21,6 +23,16 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_token_files(spark, folder):
+    docs = load(spark, folder, "documents")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    files = token_files.write_documents(docs, vocabulary, END_ID)
+    return token_files.read_documents(files).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query
 def op2_host_quality(spark, folder):
     docs = load(spark, folder, "documents")
@@ -99,6 +111,23 @@ def op5_chat_format(spark, folder):
     )
 
 
+def encoded_and_decoded(docs: DataFrame) -> DataFrame:
+    """Digests of the ids of whole texts and of what they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_documents(docs.select("doc_id", "text"), ranks).select("doc_id", "ids")
+    return bpe.decode_documents(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_byte_bpe(spark, folder):
+    return encoded_and_decoded(load(spark, folder, "documents"))
+
+
 @query
 def op9_uniform_shards(spark, folder):
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import PieceCache, encode_texts
-from tickloom.llm.common import stored
+from tickloom.llm.common import ship_code, stored
 from tickloom.session import scratch_path
 
 #: Fixed values of the seekable format.
@@ -34,6 +34,8 @@ FOOTER, ENTRY, HEADER = struct.Struct("<IBI"), struct.Struct("<III"), struct.Str
 #: A frame is closed once it has this many ids.
 FRAME_IDS = 65_536
 LEVEL = 3
+#: Pre-tokens given to the tokenizer at once.
+CALL_PIECES = 512
 
 
 def checksum(data: bytes) -> int:
@@ -143,13 +145,35 @@ def load_tokenizer(path: str) -> PieceCache:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Words behind a space stay apart when joined, so many take one call.
+        words = np.array([p[0] == " " and p[1:].isalpha() for p in pieces], bool)
+        counts = np.zeros(len(pieces), np.int64)
+        owners, found = [], []
+        plain = np.flatnonzero(words)
+        for at in range(0, len(plain), CALL_PIECES):
+            some = plain[at : at + CALL_PIECES]
+            result = tokenizer.encode("".join(pieces[i] for i in some), add_special_tokens=False)
+            own = np.array(result.word_ids, np.int64)
+            if own[-1] + 1 != len(some):
+                raise ValueError("the tokenizer does not split as its words suggest")
+            owners.append(some[own])
+            found.append(np.array(result.ids, np.uint32))
+        for i in np.flatnonzero(~words):
+            ids = tokenizer.encode(pieces[i], add_special_tokens=False).ids
+            owners.append(np.full(len(ids), i))
+            found.append(np.array(ids, np.uint32))
+        owner = np.concatenate(owners)
+        np.add.at(counts, owner, 1)
+        return np.concatenate(found)[np.argsort(owner, kind="stable")], counts
 
     return PieceCache(encode)
 
 
 MANIFEST = "part int, path string, documents bigint, n_ids bigint, bytes bigint"
+MANIFEST_ARROW = pa.schema(
+    {"part": pa.int32(), "path": pa.string(), "documents": pa.int64(), "n_ids": pa.int64(), "bytes": pa.int64()}
+)
 
 
 def write_documents(
@@ -168,46 +192,43 @@ def write_documents(
     order by their text. An empty table gives an empty manifest. The manifest has
     ``first``: the number of ids in the files before.
     """
+    ship_code(docs.sparkSession)
     path = path or scratch_path(docs.sparkSession, "token_files")
     rows = docs.select(
         F.col(row_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_tokenizer(tokenizer_path)
         system, folder = pyarrow.fs.FileSystem.from_uri(path)
         name, writer, out = "", None, None
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            if writer is None and len(batch):
+            if writer is None and batch.num_rows:
                 system.create_dir(folder, recursive=True)
                 name = f"{uuid.uuid4().hex}.ids.zst"
                 out = system.open_output_stream(f"{folder}/{name}")
                 writer = SeekableWriter(out)
-            ids_of = batch["id"].astype(object).where(batch["id"].notna(), None).tolist()
-            at = 0
-            for ids, counts, _ in encode_texts(batch["text"].tolist(), pieces):
+            numbers = iter(batch.column(0).to_pylist())
+            for ids, counts in encode_texts(batch.column(1).to_pylist(), pieces):
                 stops = np.cumsum(counts)
                 for n, stop in zip(counts.tolist(), stops.tolist()):
-                    one = None if ids_of[at] is None else int(ids_of[at])
-                    writer.add(one, np.concatenate((ids[stop - n : stop], end)))
-                    at += 1
+                    writer.add(next(numbers), np.concatenate((ids[stop - n : stop], end)))
         if writer is not None:
             writer.close()
             size = out.tell()
             out.close()
-            yield pd.DataFrame(
-                {
-                    "part": [TaskContext.get().partitionId()],
-                    "path": [f"{path}/{name}"],
-                    "documents": [len(writer.counts)],
-                    "n_ids": [sum(writer.counts)],
-                    "bytes": [size],
-                }
-            )
-
-    manifest = stored(ordered.mapInPandas(write, MANIFEST), "manifest")
+            row = {
+                "part": TaskContext.get().partitionId(),
+                "path": f"{path}/{name}",
+                "documents": len(writer.counts),
+                "n_ids": sum(writer.counts),
+                "bytes": size,
+            }
+            yield pa.RecordBatch.from_pylist([row], MANIFEST_ARROW)
+
+    manifest = stored(ordered.mapInArrow(write, MANIFEST), "manifest")
     # One row per file.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("first", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
@@ -219,11 +240,12 @@ def read_documents(manifest: DataFrame, wanted: list[int] | None = None) -> Data
     ``start`` counts the ids of all documents before. Only frames that hold a wanted
     document are decompressed; a damaged frame or index raises.
     """
+    ship_code(manifest.sparkSession)
     schema = "doc_id bigint, start bigint, n_ids bigint, ids binary"
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, first in zip(batch["path"], batch["first"]):
+            for path, first in zip(*(c.to_pylist() for c in batch.columns)):
                 system, file = pyarrow.fs.FileSystem.from_uri(path)
                 with system.open_input_file(file) as source:
                     reader = SeekableReader(source)
@@ -232,16 +254,16 @@ def read_documents(manifest: DataFrame, wanted: list[int] | None = None) -> Data
                         chosen = chosen[np.isin(reader.doc_ids, wanted) & (reader.known == 1)]
                     for at in range(0, len(chosen), 512):
                         some = chosen[at : at + 512]
-                        numbers = pd.array(reader.doc_ids[some], dtype="Int64")
-                        numbers[reader.known[some] == 0] = pd.NA
-                        yield pd.DataFrame(
-                            {
-                                "doc_id": numbers,
-                                "start": first + reader.first[some],
-                                "n_ids": reader.counts[some],
-                                "ids": [reader.document(int(i)).tobytes() for i in some],
-                            }
+                        texts = [reader.document(int(i)).tobytes() for i in some]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(reader.doc_ids[some], pa.int64(), mask=reader.known[some] == 0),
+                                pa.array(first + reader.first[some], pa.int64()),
+                                pa.array(reader.counts[some], pa.int64()),
+                                pa.array(texts, pa.binary()),
+                            ],
+                            ["doc_id", "start", "n_ids", "ids"],
                         )
 
     files = manifest.select("path", "first")
-    return files.repartition("path").mapInPandas(read, schema)
+    return files.repartition("path").mapInArrow(read, schema)
