@@ -208,7 +208,7 @@ def write_documents(
             if writer is None and batch.num_rows:
                 system.create_dir(folder, recursive=True)
                 name = f"{uuid.uuid4().hex}.ids.zst"
-                out = system.open_output_stream(f"{folder}/{name}")
+                out = system.open_output_stream(f"{folder}/{name}", compression=None)
                 writer = SeekableWriter(out)
             numbers = iter(batch.column(0).to_pylist())
             for ids, counts in encode_texts(batch.column(1).to_pylist(), pieces):
