@@ -36,6 +36,8 @@ FRAME_IDS = 65_536
 LEVEL = 3
 #: Pre-tokens given to the tokenizer at once.
 CALL_PIECES = 512
+#: Files are read by this many tasks at most.
+READ_TASKS = 10_000
 
 
 def checksum(data: bytes) -> int:
@@ -266,4 +268,7 @@ def read_documents(manifest: DataFrame, wanted: list[int] | None = None) -> Data
                         )
 
     files = manifest.select("path", "first")
-    return files.repartition("path").mapInArrow(read, schema)
+    # A number of its own keeps adaptive execution from merging these few small rows
+    # into one task that would read all files.
+    tasks = min(max(files.count(), 1), READ_TASKS)
+    return files.repartition(tasks, "path").mapInArrow(read, schema)
