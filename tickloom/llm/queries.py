@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, mixing, quality, sharding, token_files
+from tickloom.llm import bpe, chat, minhash, mixing, pivots, quality, sharding, token_files
 from tickloom.llm.common import load, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op3_temperature_mix(spark, folder):
     )
 
 
+@query
+def op4_pivot_vectors(spark, folder):
+    found = pivots.near_vectors(load(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def chat_events(rows: DataFrame) -> DataFrame:
     """The log that would leave these conversations: streamed texts, drafts, edits.
 
@@ -142,3 +148,12 @@ def op9_uniform_shards(spark, folder):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_bbit_minhash(spark, folder):
+    found = minhash.near_duplicates(load(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id",
+        (F.col("id") == F.col("component_id")).alias("kept"),
+    )
