@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -36,7 +37,7 @@ LANES = HASHES * BITS // 64
 #: Estimates have a deviation of 0.04 at the threshold; five of them are let through.
 MARGIN = 0.20
 #: Buckets up to this size are paired by a join.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 8
 CHUNK_BYTES = 2_000_000
 
 _WHITE = np.zeros(256, bool)
@@ -262,10 +263,12 @@ _NIBBLES = np.uint64(0x1111111111111111)
 _PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
-def close_in_block(left: dict, right: dict | None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two blocks (or one) of other components with close estimates.
+def links_in_block(key: int, left: dict, right: dict | None) -> list[tuple[int, int]]:
+    """Links that join components, between two blocks of a bucket or inside one.
 
-    Blocks have arrays id, component and bits (rows of eight numbers).
+    Blocks have id, component, bits, bands and sets. A pair is looked at in the first
+    band it shares, so in one bucket only; estimates come before full sets; and a pair
+    whose components are joined already is not needed.
     """
     other = right or left
     equal = np.zeros((len(left["id"]), len(other["id"])), np.int64)
@@ -275,33 +278,64 @@ def close_in_block(left: dict, right: dict | None) -> tuple[np.ndarray, np.ndarr
         d |= d >> np.uint64(1)
         equal += 16 - np.bitwise_count(d & _NIBBLES).astype(np.int64)
     chance = 1 / (1 << BITS)
-    similar = (equal / HASHES - chance) / (1 - chance) >= PERCENT / 100 - MARGIN
+    close = (equal / HASHES - chance) / (1 - chance)
+    similar = close >= PERCENT / 100 - MARGIN
     similar &= left["component"][:, None] != other["component"][None, :]
     if right is None:
         similar &= left["id"][:, None] < other["id"][None, :]
-    return np.nonzero(similar)
-
-
-def _block_candidates(rows: DataFrame) -> DataFrame:
-    """Close pairs (a, b) of rows (key, id, component, bits) in large buckets."""
+    i, j = np.nonzero(similar)
+    shared = left["bands"][i] == other["bands"][j]
+    own = left["bands"][i, shared.argmax(axis=1)] == key
+    i, j = i[own], j[own]
+    order = np.argsort(-close[i, j], kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    links = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        a, b = root(int(left["component"][x])), root(int(other["component"][y]))
+        if a != b:
+            one, two = left["sets"][x], other["sets"][y]
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            if 100 * both >= PERCENT * (len(one) + len(two) - both):
+                parent[max(a, b)] = min(a, b)
+                links.append((int(left["id"][x]), int(other["id"][y])))
+    return links
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.int64).reshape(-1, width)
+
+
+def _block_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) of rows (key, id, component, bits, bands, shingles) of buckets."""
     ship_code(rows.sparkSession)
 
     def compare(table: pa.Table) -> pa.Table:
         sides = []
         for side in (0, 1):
-            own = table.filter(pa.compute.equal(table["side"], side))
-            flat = own["bits"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            own = table.filter(pc.equal(table["side"], side))
+            lists = own["shingles"].combine_chunks()
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             sides.append(
                 {
                     "id": own["id"].to_numpy(),
                     "component": own["component"].to_numpy(),
-                    "bits": flat.astype(np.int64).view(np.uint64).reshape(-1, LANES),
+                    "bits": _matrix(own["bits"], LANES).view(np.uint64),
+                    "bands": _matrix(own["bands"], BANDS),
+                    "sets": np.split(flat, ends[:-1].astype(np.int64)),
                 }
             )
-        one_block = len(sides[1]["id"]) == 0
-        i, j = close_in_block(sides[0], None if one_block else sides[1])
-        a, b = sides[0]["id"][i], (sides[0] if one_block else sides[1])["id"][j]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        right = sides[1] if len(sides[1]["id"]) else None
+        links = links_in_block(table["bucket"][0].as_py(), sides[0], right)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
+                         "b": pa.array([y for _, y in links], pa.int64())})
 
     return block_pairs(rows, "key", "id").groupBy("bucket", "pair").applyInArrow(compare, _PAIR)
 
@@ -341,7 +375,8 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text")
     # Full sets of every document in company, made from the texts once.
     wanted = members.select("id").distinct()
     keyed = classes.select(F.col("rep").alias("id")).join(wanted, "id", "left_semi")
-    texts = rows.join(keyed, "id", "left_semi")
+    # The ids grow with the corpus, so they are never broadcast.
+    texts = rows.join(keyed.hint("merge"), "id", "left_semi")
     sets = stored(
         full_sets(texts.select("id", "text")).where(F.size("shingles") > 0), "sets"
     )
@@ -354,16 +389,16 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text")
         F.min("component").alias("least"), F.max("component").alias("most")
     )
     open_ = stored(
-        named.join(split.where("least < most").select("key"), "key").join(bits, "id"), "open_buckets"
+        named.join(split.where("least < most").select("key"), "key"), "open_buckets"
     )
     small = open_.where(F.col("n") <= SMALL_BUCKET)
     left = small.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
     right = small.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
     joined = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
-    large = open_.where(F.col("n") > SMALL_BUCKET).select("key", "id", "component", "bits")
-    rest = _estimated(joined, bits).unionByName(_block_candidates(large)).distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = stored(_confirmed(rest, sets), "more_links")
+    rest = _estimated(joined.join(stars, ["a", "b"], "left_anti"), bits)
+    large = open_.where(F.col("n") > SMALL_BUCKET).select("key", "id", "component")
+    large = large.join(reps, "id").join(sets, "id")
+    more = stored(_confirmed(rest, sets).unionByName(_block_links(large)), "more_links")
     # Equal sets, and equal ids with several texts, belong together as well.
     same = usable.join(classes, "set_key").where("id <> rep").select(
         F.col("id").alias("a"), F.col("rep").alias("b")
