@@ -42,7 +42,8 @@ def choose_pivots(vectors: DataFrame, seed: int = 0) -> np.ndarray:
     rows = vectors.select("unit", order.alias("o"), "vec_id").orderBy("o", "vec_id").limit(wanted)
     found = [r[0] for r in rows.select("unit").collect()]
     width = max(map(len, found), default=0)
-    return np.array([v for v in found if len(v) == width], np.float64).reshape(-1, width)
+    same = [v for v in found if len(v) == width]
+    return np.array(same, np.float64).reshape(len(same), width)
 
 
 def units(table: DataFrame) -> DataFrame:

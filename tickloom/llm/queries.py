@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, minhash, mixing, pivots, quality, sharding, token_files
+from tickloom.llm import bpe, chat, langid, line_edits, minhash, mixing, pivots, quality
+from tickloom.llm import sharding, token_files
 from tickloom.llm.common import load, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +135,34 @@ def op6_byte_bpe(spark, folder):
     return encoded_and_decoded(load(spark, folder, "documents"))
 
 
+@query
+def op7_line_edits(spark, folder):
+    """Per document: its lines and how many repeat earlier ones, equal or near."""
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    gone = line_edits.repeated_lines(docs)
+    counts = gone.groupBy(F.col("doc").alias("doc_id")).agg(
+        F.count_if(~F.col("near")).alias("n_equal"),
+        F.count_if("near").alias("n_near"),
+        F.sort_array(F.collect_set("line_no")).alias("dropped"),
+    )
+    lines = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n_lines"))
+    return lines.join(counts, "doc_id", "left").select(
+        "doc_id", "n_lines",
+        F.coalesce("n_equal", F.lit(0)).alias("n_equal"),
+        F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
+    )
+
+
+@query
+def op8_language(spark, folder):
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    model = langid.train(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 @query
 def op9_uniform_shards(spark, folder):
     text = F.coalesce(F.col("text"), F.lit(""))
