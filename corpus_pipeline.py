@@ -1,8 +1,64 @@
-"""The corpus pipeline: five stages from raw documents to token ids."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing, token ids.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
+``run`` writes every stage's rows as Parquet in the shared folder and reads them again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickloom.llm import line_edits, minhash, mixing, quality
+from tickloom.llm.common import load, stored
+from tickloom.llm.queries import encoded_and_decoded
+
+#: Line dedup and near-dedup decide by edit distance and signatures, which the SQL of
+#: the other engine cannot follow on whole tables.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule and no host verdict rejects."""
+    measured = stored(quality.measure(docs), "measured")
+    return quality.judge(measured).where("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat earlier ones go, and documents that have no word left."""
+    return line_edits.remaining(docs, line_edits.repeated_lines(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every near-duplicate group."""
+    found = minhash.near_duplicates(docs)
+    gone = found.where("id <> component_id").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Small sources are repeated towards the target weights; no document is cut."""
+    mix = mixing.Mix()
+    plan = mixing.plan_sources(stored(mixing.slim_rows(docs), "slim"), mix)
+    return mixing.mix_rows(docs, plan, mix).select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts and digests of the token ids of every document drawn."""
+    return encoded_and_decoded(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs
