@@ -328,7 +328,7 @@ def test_repeated_lines_equal_brute_force(spark):
     for d, t in rows:
         if t and any((d, k) in gone for k in range(9)):
             t = "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone)
-            if not t.split():
+            if not any(len(x.split()) >= 8 for x in t.split("\n")):
                 assert d not in left
                 continue
         assert left[d] == t

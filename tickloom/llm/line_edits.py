@@ -280,17 +280,26 @@ def _letters(lines: list[str]) -> np.ndarray:
     return out
 
 
-def remaining(docs: DataFrame, dropped: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without their repeated lines; those left without a word go.
+def remaining(
+    docs: DataFrame,
+    dropped: DataFrame,
+    row_id: str = "doc_id",
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+) -> DataFrame:
+    """Documents without their repeated lines.
 
-    Documents whose lines all stay are unchanged, even if they have no words.
+    A document that keeps none of its lines of enough words repeats others and goes
+    as a whole: headings alone are not left behind. Documents that lose no line are
+    unchanged.
     """
     lists = dropped.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
     joined = docs.join(lists, F.col(row_id).eqNullSafe(F.col("_doc")), "left")
     kept = F.filter(
         F.split(F.col(text), LINE_END), lambda x, i: ~F.array_contains(F.col("_gone"), i)
     )
-    body = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, LINE_END))
-    left = joined.withColumn(text, body)
-    empty = F.col("_gone").isNotNull() & ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return left.where(~empty).select(*docs.columns)
+    touched = F.col("_gone").isNotNull()
+    joined = joined.withColumn("_kept", F.when(touched, kept))
+    own = F.exists("_kept", lambda x: F.size(words_of(x)) >= min_words)
+    body = F.when(touched, F.array_join("_kept", LINE_END)).otherwise(F.col(text))
+    return joined.where(~touched | own).withColumn(text, body).select(*docs.columns)
