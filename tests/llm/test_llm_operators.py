@@ -350,7 +350,8 @@ def test_one_segment_is_always_found(spark):
     pairs = [(a, b) if len(a) <= len(b) else (b, a) for a, b in pairs if min(len(a), len(b)) > 2]
     frame = spark.createDataFrame(pairs, "a string, b string")
     keys = F.array(*line_edits.index_keys(F.col("a"), F.length("a")))
-    probes = F.array_compact(F.array(*line_edits.probe_keys(F.col("b"), F.length("b"))))
+    own = line_edits.index_keys(F.col("b"), F.length("b"))
+    probes = F.array_compact(F.array(*own, *line_edits.probe_keys(F.col("b"), F.length("b"))))
     assert frame.where(~F.arrays_overlap(keys, probes)).collect() == []
 
 

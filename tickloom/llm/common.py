@@ -17,14 +17,14 @@ from tickloom.session import scratch_path
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the shared folder and read again.
 
     Cuts the lineage: a lost executor repeats no work before the written table.
     """
     spark = rows.sparkSession
     path = scratch_path(spark, label)
-    rows.write.parquet(path)
+    rows.write.option("compression", compression).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.blocks import block_pairs
@@ -53,7 +53,8 @@ def index_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]
 
 
 def probe_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]:
-    """Keys a line is looked up by, for index lines as long as it or shorter.
+    """Keys a line is looked up by, besides its own index keys, for lines as long as
+    it or shorter.
 
     Of segment i (from 0) in a line shorter by ``less``, substrings start at most i
     places off, counted from either end, as at most i edits lie before it or the rest
@@ -66,6 +67,8 @@ def probe_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]
             behind = edits - i
             low, high = max(-i, less - behind), min(i, less + behind)
             for shift in range(low, high + 1):
+                if less == 0 and shift == 0:
+                    continue
                 begin = start + shift
                 inside = (begin >= 1) & (begin + size - 1 <= length)
                 key = F.xxhash64(other, F.lit(i), F.substring(line, begin, size))
@@ -167,14 +170,16 @@ def repeated_lines(
     # Equal lines become one: their first place, and a number that only narrows the
     # search for candidates (texts decide).
     seen = occurrences(docs, row_id, text, min_words)
-    firsts = seen.groupBy("line").agg(F.min(place).alias("first"))
-    firsts = stored(
-        firsts.select(F.xxhash64("line").alias("line_key"), "line", "first"), "first_lines"
-    )
+    firsts = seen.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("places"))
+    size = F.length("line").alias("length")
+    firsts = firsts.select(F.xxhash64("line").alias("line_key"), "line", size, "first", "places")
+    firsts = stored(firsts, "first_lines", compression="zstd")
     near = stored(_near_lines(firsts, edits), "near_lines")
-    # A place that is not its line's first repeats it; a first place may be near.
-    digest = F.sha2("line", 256).alias("digest")
-    own = firsts.select(digest, "first")
+    # A place that is not its line's first repeats it; a first place may be near. Two
+    # hashes stand for the text here: 128 bits.
+    digest = F.struct(F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"))
+    digest = digest.alias("digest")
+    own = firsts.where("places > 1").select(digest, "first")
     later = (
         seen.select("doc", "line_no", digest)
         .join(own, "digest")
@@ -189,20 +194,27 @@ def repeated_lines(
 
 def _near_lines(firsts: DataFrame, edits: int) -> DataFrame:
     """(first) of the lines within some edits of a line with an earlier place."""
-    length = F.length("line")
-    long = firsts.where(length > edits)
-    keys = F.array(*index_keys(F.col("line"), length, edits))
-    probes = F.array_distinct(F.array_compact(F.array(*probe_keys(F.col("line"), length, edits))))
-    indexed = long.select("line_key", F.explode(keys).alias("key"))
-    probing = long.select("line_key", F.explode(probes).alias("key"))
-    # How many lines meet under each key; keys of one line alone go.
-    both = indexed.withColumn("i", F.lit(1)).unionByName(probing.withColumn("i", F.lit(0)))
-    sizes = both.groupBy("key").agg(F.sum("i").alias("held"), F.count("*").alias("n"))
-    sizes = sizes.where("held > 0 AND n > held OR held > 1")
-    met = stored(both.join(sizes, "key").select("key", "line_key", "i", "n"), "met_lines")
+    length = F.col("length")
+    line = F.col("line")
+    keys = [(k, 1) for k in index_keys(line, length, edits)]
+    keys += [(k, 0) for k in probe_keys(line, length, edits)]
+    entries = F.array(*(F.struct(k.alias("key"), F.lit(i).alias("i")) for k, i in keys))
+    entered = firsts.where(length > edits).select("line_key", F.explode(entries).alias("e"))
+    entered = entered.select("e.key", "line_key", "e.i").where("key IS NOT NULL")
+    # Only keys under which an indexed line meets another line go on.
+    own = Window.partitionBy("key")
+    met = entered.select(
+        "*",
+        F.count("*").over(own).alias("n"),
+        F.max("i").over(own).alias("held"),
+        F.min("line_key").over(own).alias("least"),
+        F.max("line_key").over(own).alias("most"),
+    )
+    met = met.where("held = 1 AND least <> most").select("key", "line_key", "i", "n")
+    met = stored(met, "met_lines")
     few = met.where(F.col("n") <= 2 * SMALL_BUCKET)
     a = few.where("i = 1").select("key", F.col("line_key").alias("a"))
-    b = few.where("i = 0").select("key", F.col("line_key").alias("b"))
+    b = few.select("key", F.col("line_key").alias("b"))
     pairs = a.join(b, "key").where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     wanted = met.select("line_key").distinct()
