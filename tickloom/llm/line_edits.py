@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.blocks import block_pairs
-from tickloom.llm.common import ship_code, stored, words_of
+from tickloom.llm.common import ship_code, stored
 
 EDITS = 2
 MIN_WORDS = 8
@@ -35,8 +35,8 @@ LINE_END = "\n"
 def segments(length: Column, edits: int = EDITS) -> list[tuple[Column, Column]]:
     """Start (from 1) and size of each of ``edits + 1`` segments; the last are longer."""
     parts = edits + 1
-    least = F.floor(length / parts).cast("int")
-    longer = length - least * parts
+    longer = length % parts
+    least = ((length - longer) / parts).cast("int")
     out = []
     for i in range(parts):
         before = F.greatest(longer - (parts - i), F.lit(0))
@@ -149,7 +149,13 @@ def occurrences(docs: DataFrame, row_id: str, text: str, min_words: int) -> Data
     """(doc, line_no, line) of every line with enough words."""
     lines = F.split(F.col(text), LINE_END)
     rows = docs.select(F.col(row_id).alias("doc"), F.posexplode(lines).alias("line_no", "line"))
-    return rows.where(F.size(words_of(F.col("line"))) >= min_words)
+    return rows.where(has_words(F.col("line"), min_words))
+
+
+def has_words(line: Column, count: int) -> Column:
+    """Whether a line has so many words; stops reading at the last one needed."""
+    gap, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+    return line.rlike(f"^{gap}*+(?:{word}++{gap}++){{{count - 1}}}{word}")
 
 
 def repeated_lines(
@@ -312,6 +318,6 @@ def remaining(
     )
     touched = F.col("_gone").isNotNull()
     joined = joined.withColumn("_kept", F.when(touched, kept))
-    own = F.exists("_kept", lambda x: F.size(words_of(x)) >= min_words)
+    own = F.exists("_kept", lambda x: has_words(x, min_words))
     body = F.when(touched, F.array_join("_kept", LINE_END)).otherwise(F.col(text))
     return joined.where(~touched | own).withColumn(text, body).select(*docs.columns)
