@@ -214,6 +214,30 @@ def test_daily_chain(spark, tmp_path, symbols, since):
     assert not jobs.run_daily(spark, config, datetime.date(2024, 1, 6))
 
 
+def test_a_symbol_silent_for_years_is_forecast(spark, tmp_path):
+    table = TABLES["full_stock_calculations"]
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(days=n) for n in range(60)]
+    since = datetime.date(2023, 6, 1)
+    rows = [("A", d, float(n)) for n, d in enumerate([*days, since])]
+    rows += [("B", d, float(n)) for n, d in enumerate([*days, datetime.date(2023, 5, 31), since])]
+    frame = spark.createDataFrame(rows, "symbol string, date date, current_price double")
+    missing = [f for f in table.schema.fields if f.name not in frame.columns]
+    numbers = {f.name: F.col("current_price").cast(f.dataType) for f in missing}
+    features = frame.withColumns(numbers).select(*table.schema.names)
+    found = []
+    for name, begin in (("whole", None), ("narrow", since)):
+        config = daily_config(tmp_path / name) if (tmp_path / name).mkdir() is None else None
+        config.insert(spark, features, table.name)
+        if not found:
+            jobs.run_train(spark, config)
+        models = jobs.Config(warehouse=config.warehouse, models=str(tmp_path / "whole" / "models"))
+        jobs.run_predict(spark, models, begin)
+        stored = models.read(spark, "predicted_stock_prices").where(F.col("date") >= F.lit(since))
+        found.append(sorted(map(tuple, stored.collect())))
+    assert found[0] == found[1]
+    assert [r[0] for r in found[0]] == ["A", "B"]
+
+
 def test_metrics_freeze_unless_refreshed(spark, tmp_path):
     config = daily_config(tmp_path)
     table = TABLES["predicted_stock_prices"]
