@@ -23,8 +23,8 @@ from tickloom.llm.pretokens import boundaries
 #: Code points worked on at once, and pre-tokens kept in a cache before it is emptied.
 #: Both bound memory and change no result.
 CHUNK_CHARS = 1_000_000
-CACHE_PIECES = 1_200_000
-CACHE_IDS = 24_000_000
+CACHE_PIECES = 500_000
+CACHE_IDS = 8_000_000
 SHORT_PIECE = 32
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
