@@ -6,6 +6,10 @@ rows travel to a task once per partner block, and the task compares them on arra
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +43,68 @@ def block_pairs(rows: DataFrame, key: str, row_id: str, block_rows: int = BLOCK_
         ).alias("pair"),
         F.when(F.col("_block") <= F.col("_other"), 0).otherwise(1).alias("side"),
     )
+
+
+RUN = ("_run", "_run_too")
+
+
+def dealt_in_runs(blocks: DataFrame) -> DataFrame:
+    """Rows of a block pair one after the other in one partition, for ``runs``.
+
+    A run is known by 128 bits of hash. Where most pairs are small, this spares the
+    call that a grouped map makes for each of them.
+    """
+    one, two = F.xxhash64("bucket", "pair"), F.xxhash64(F.lit(1), "bucket", "pair")
+    named = blocks.withColumns(dict(zip(RUN, (one, two))))
+    return named.repartition(*RUN).sortWithinPartitions(*RUN)
+
+
+def _part(arrays: dict, start: int, stop: int) -> dict[str, np.ndarray]:
+    out = {}
+    for name, (offsets, values) in arrays.items():
+        if offsets is None:
+            out[name] = values[start:stop]
+        else:
+            out[name] = values[offsets[start] : offsets[stop]].reshape(stop - start, -1)
+    return out
+
+
+def _arrays(batch: pa.RecordBatch) -> dict:
+    out = {}
+    for name, column in zip(batch.schema.names, batch.columns):
+        if pa.types.is_list(column.type):
+            values = column.values.to_numpy(zero_copy_only=False)
+            out[name] = (column.offsets.to_numpy(), values)
+        else:
+            out[name] = (None, column.to_numpy(zero_copy_only=False))
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each run, lists as matrices; columns are numbers or their lists.
+
+    Runs may go on over batches; only one is held at a time.
+    """
+    held: list[dict] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        arrays = _arrays(batch)
+        a, b = (arrays[name][1] for name in RUN)
+        cuts = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:]):
+            if held and (a[start], b[start]) != last:
+                yield _joined(held)
+                held = []
+            held.append(_part(arrays, start, stop))
+            last = (a[start], b[start])
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[dict]) -> dict[str, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}

@@ -17,12 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.blocks import block_pairs
-from tickloom.llm.common import ship_code, stored
+from tickloom.llm.blocks import RUN, block_pairs, dealt_in_runs, runs
+from tickloom.llm.common import let, ship_code, stored
 from tickloom.llm.components import components
 
 COSINE = 0.93
@@ -39,16 +38,22 @@ def choose_pivots(vectors: DataFrame, seed: int = 0) -> np.ndarray:
     total = vectors.count()
     wanted = min(int(LEAST_PIVOTS + PIVOT_FACTOR * math.sqrt(total)), MOST_PIVOTS)
     order = F.xxhash64(F.lit(seed), F.col("vec_id"))
-    rows = vectors.select("unit", order.alias("o"), "vec_id").orderBy("o", "vec_id").limit(wanted)
-    found = [r[0] for r in rows.select("unit").collect()]
+    rows = vectors.select("v", order.alias("o"), "vec_id").orderBy("o", "vec_id").limit(wanted)
+    found = [r[0] for r in rows.select("v").collect()]
     width = max(map(len, found), default=0)
     same = [v for v in found if len(v) == width]
-    return np.array(same, np.float64).reshape(len(same), width)
+    return normalised(np.array(same, np.float64).reshape(len(same), width))
 
 
-def units(table: DataFrame) -> DataFrame:
-    """Rows (vec_id, label, unit) that can link: finite, not zero, with a label."""
-    numbers = F.transform("embedding", lambda x: x.cast("double"))
+def normalised(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision; scaled first, so that squares stay in range."""
+    vectors = vectors.astype(np.float64)
+    vectors /= np.abs(vectors).max(axis=1, keepdims=True, initial=0)
+    return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+
+
+def usable(table: DataFrame) -> DataFrame:
+    """Rows (vec_id, label, v) that can link: finite, not zero, with a label."""
     fine = F.forall(
         "embedding",
         lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")),
@@ -56,17 +61,24 @@ def units(table: DataFrame) -> DataFrame:
     rows = table.where(
         F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
     ).where(F.size("embedding") > 0).where(fine)
-    # Scaled by the largest component first, so that squares stay in range.
-    rows = rows.select("vec_id", "label", numbers.alias("v"))
-    top = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    rows = rows.withColumn("top", top).where("top > 0")
-    rows = rows.withColumn("v", F.transform("v", lambda x: x / F.col("top")))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return rows.withColumn("n", norm).select(
-        "vec_id", "label", F.transform("v", lambda x: x / F.col("n")).alias("unit")
+    return rows.where(F.exists("embedding", lambda x: x != 0)).select(
+        "vec_id", "label", F.col("embedding").alias("v")
     )
 
 
+def direction(v: Column) -> Column:
+    """A digest of the unit vector."""
+    doubles = F.transform(v, lambda x: x.cast("double"))
+    top = F.array_max(F.transform(doubles, lambda x: F.abs(x)))
+    scaled = let(top, lambda t: F.transform(doubles, lambda x: x / t))
+
+    def unit(s: Column) -> Column:
+        norm = F.sqrt(F.aggregate(s, F.lit(0.0), lambda a, x: a + x * x))
+        return let(norm, lambda n: F.transform(s, lambda x: x / n))
+
+    return F.sha2(F.to_json(let(scaled, unit)), 256)
+
+
 def nearest(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The first pivots of each vector, nearest first."""
     scores = vectors @ pivots.T
@@ -93,7 +105,7 @@ def describe(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
             same = np.flatnonzero(sizes == points.shape[1])
             if len(same) and len(points) > 1:
                 flat = lists.take(pa.array(same)).flatten().to_numpy()
-                found = nearest(flat.reshape(len(same), -1), points).tolist()
+                found = nearest(normalised(flat.reshape(len(same), -1)), points).tolist()
                 for i, p in zip(same.tolist(), found):
                     prefix[i] = p
             names = [*batch.schema.names, "prefix"]
@@ -104,20 +116,20 @@ def describe(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(run, ", ".join([*fields, "prefix array<int>"]))
 
 
-def _first_shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The least pair key that two vectors share; keys are sorted rows."""
-    far = np.iinfo(np.int64).max
-    out = np.full((len(left), len(right)), far)
-    for k in range(left.shape[1]):
-        hit = (left[:, k, None, None] == right[None, :, :]).any(axis=2)
-        np.minimum(out, np.where(hit, left[:, k, None], far), out=out)
-    return out
+def _own_list(left: np.ndarray, right: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
+    """Whether the list's two pivots are the least two that vectors share."""
+    one, two = pair
+    low = np.intersect1d(*(x[(x < two) & (x != one)] for x in (left, right)))
+    if not len(low):
+        return np.ones((len(left), len(right)), bool)
+    has = [(x[:, :, None] == low).any(axis=1).astype(np.float32) for x in (left, right)]
+    return has[0] @ has[1].T == 0
 
 
-def linked_in_block(key: int, left: dict, right: dict | None, cosine: float) -> list[tuple]:
+def linked_in_block(pair: tuple[int, int], left: dict, right: dict | None, cosine: float) -> list[tuple]:
     """Links of two blocks (or of one with itself) that belong to this list.
 
-    A link is counted in the list of the least pair key both vectors have, so in one
+    A link is counted in the list of the least two pivots both vectors have, so in one
     list only. Returns (ids, links, roots) for each side: links weighs the other side
     by copies, and a root is a linked vector's least id reachable inside the blocks.
     """
@@ -129,8 +141,8 @@ def linked_in_block(key: int, left: dict, right: dict | None, cosine: float) ->
     if not len(rows):
         return []
     match = match[np.ix_(rows, columns)]
-    match &= _first_shared(left["keys"][rows], other["keys"][columns]) == key
-    a, b = left["id"][rows], other["id"][columns]
+    match &= _own_list(left["prefix"][rows], other["prefix"][columns], pair)
+    a, b = left["vec_id"][rows], other["vec_id"][columns]
     roots_a, roots_b, far = a, b, np.iinfo(np.int64).max
     while True:
         next_a = np.minimum(roots_a, np.where(match, roots_b[None, :], far).min(axis=1))
@@ -154,16 +166,16 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, seed: int = 0) -> Dat
     other. An id should name one vector; rows that repeat it get the same result.
     """
     base = table.select("vec_id", "label", "embedding")
-    vectors = stored(units(base), "units")
+    vectors = stored(usable(base), "vectors")
     # Copies: one representative per label and unit vector.
-    keyed = vectors.withColumn("copy_key", F.sha2(F.to_json("unit"), 256))
+    keyed = vectors.withColumn("copy_key", direction(F.col("v")))
     groups = keyed.groupBy("label", "copy_key").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")
     )
-    owned = stored(keyed.drop("unit").join(groups, ["label", "copy_key"]), "owned")
+    owned = stored(keyed.drop("v").join(groups, ["label", "copy_key"]), "owned")
     chosen = owned.where("vec_id = rep").select("vec_id", "label", "copies").distinct()
     reps = vectors.join(chosen, ["vec_id", "label"]).dropDuplicates(["vec_id", "label"]).select(
-        "vec_id", "label", "unit", "copies"
+        "vec_id", "label", "v", "copies"
     )
     described = stored(describe(reps, choose_pivots(vectors, seed)), "described")
     numbers = F.sort_array("prefix")
@@ -176,42 +188,41 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, seed: int = 0) -> Dat
             ),
         )
     )
-    listed = described.withColumn("keys", F.sort_array(F.array_distinct(combos)))
+    listed = described.withColumn("keys", F.array_distinct(combos))
     slim = listed.select("vec_id", "label", F.explode("keys").alias("key"))
     # Only lists with company carry vectors.
     shared = slim.groupBy("label", "key").count().where("count > 1").select("label", "key")
     wanted = slim.join(shared, ["label", "key"]).join(
-        listed.select("vec_id", "label", "unit", "keys", "copies"), ["vec_id", "label"]
+        described.select("vec_id", "label", "v", "prefix", "copies"), ["vec_id", "label"]
     )
-    one_list = F.struct("label", F.size("unit").alias("width"), "key")
-    rows = wanted.withColumn("list", one_list).drop("label", "key")
+    one_list = F.struct("label", F.size("v").alias("width"), "key")
+    rows = wanted.withColumn("list", one_list).drop("label")
     ship_code(table.sparkSession)
 
-    def compare(group: pa.Table) -> pa.Table:
-        key = group["bucket"][0].as_py()["key"]
-        sides = []
-        for side in (0, 1):
-            own = group.filter(pc.equal(group["side"], side))
-            flat = own["unit"].combine_chunks().flatten().to_numpy()
-            keys = own["keys"].combine_chunks().flatten().to_numpy()
-            n = own.num_rows
-            sides.append(
-                {
-                    "id": own["vec_id"].to_numpy(),
-                    "copies": own["copies"].to_numpy(),
-                    "unit": flat.reshape(n, -1) if n else flat.reshape(0, 0),
-                    "keys": keys.reshape(n, -1) if n else keys.reshape(0, 0),
-                }
-            )
-        found = linked_in_block(key, sides[0], sides[1] if len(sides[1]["id"]) else None, cosine)
-        columns = zip(*found) if found else [()] * 3
-        names = ("vec_id", "links", "root")
-        empty = np.empty(0, np.int64)
-        return pa.table({n: np.concatenate([empty, *c]) for n, c in zip(names, columns)})
-
-    parts = block_pairs(rows, "list", "vec_id").groupBy("bucket", "pair")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, out, size = ("vec_id", "links", "root"), [], 0
+        for run in runs(batches):
+            if len(run["side"]) < 2:
+                continue
+            run["unit"] = normalised(run["v"])
+            key, first = int(run["key"][0]), run["side"] == 0
+            left = {n: run[n][first] for n in ("vec_id", "copies", "unit", "prefix")}
+            right = None if first.all() else {n: run[n][~first] for n in left}
+            if not len(left["vec_id"]):
+                continue
+            found = linked_in_block((key >> 20, key & 0xFFFFF), left, right, cosine)
+            out += found
+            size += sum(len(ids) for ids, _, _ in found)
+            if size > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names)
+
+    dealt = dealt_in_runs(block_pairs(rows, "list", "vec_id"))
+    numeric = dealt.select(*RUN, "side", "key", "vec_id", "copies", "v", "prefix")
     found = stored(
-        parts.applyInArrow(compare, "vec_id bigint, links bigint, root bigint"), "vector_links"
+        numeric.mapInArrow(compare, "vec_id bigint, links bigint, root bigint"), "vector_links"
     )
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
