@@ -204,3 +204,45 @@ def test_incremental_ingest_adds_only_new_keys(spark, tmp_path):
     assert deliver(page("A", 200, at, "2"), page("B", 200, at, "3")) == [("A", 1.0), ("B", 3.0)]
     ingest_new_pages(spark, landing, table, state)
     assert spark.read.parquet(table).count() == 2
+
+
+def test_stream_and_batch_write_one_table(spark, tmp_path):
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    at = datetime.datetime(2024, 1, 5, 22)
+    insert_if_absent(spark, price_frame(spark, [("A", "a", at.date(), 1.0, None)]), PRICES, table)
+    pages = [page("A", 200, at, "2"), page("B", 200, at, "3")]
+    spark.createDataFrame(pages, PAGE_TYPE).write.parquet(landing)
+    ingest_new_pages(spark, landing, table, state)
+    late = [("B", "b", at.date(), 9.0, None), ("C", "c", datetime.date(2025, 1, 1), 4.0, None)]
+    insert_if_absent(spark, price_frame(spark, late), PRICES, table)
+    prices = read_table(spark, table, PRICES).select("symbol", "current_price").collect()
+    assert sorted(map(tuple, prices)) == [("A", 1.0), ("B", 3.0), ("C", 4.0)]
+    year = read_range(spark, table, PRICES, datetime.date(2024, 1, 1), datetime.date(2024, 12, 31))
+    assert year.count() == 2
+
+
+def test_a_page_without_symbol_fails_the_stream(spark, tmp_path):
+    at = datetime.datetime(2024, 1, 5, 22)
+    spark.createDataFrame([page(None, 200, at, "1")], PAGE_TYPE).write.parquet(str(tmp_path / "landing"))
+    with pytest.raises(Exception, match="symbol is null"):
+        ingest_new_pages(spark, *(str(tmp_path / n) for n in ("landing", "table", "state")))
+
+
+@pytest.mark.parametrize(
+    "html, price",
+    [
+        ('<span data-testid="qsp-price">1, <b> 234.5</b></span>', 1234.5),
+        ('<!-- <span data-testid="qsp-price">9</span> --><span data-testid="qsp-price">7</span>', 7.0),
+        ('<script>x = \'<span data-testid="qsp-price">9</span>\'</script><span data-testid=qsp-price>8</span>', 8.0),
+    ],
+)
+def test_price_in_odd_markup(spark, html, price):
+    at = datetime.datetime(2024, 1, 5, 22)
+    pages = spark.createDataFrame([("A", 200, at, html)], PAGE_TYPE)
+    assert ingest.extract_quotes(pages).first()["current_price"] == price
+
+
+def test_wide_csv_with_other_dates(spark, tmp_path):
+    path = write_csv(tmp_path / "o.csv", "Date,A", "01/02/2024,3")
+    rows = one_row_per_date(scan_wide_csv(spark, path, "MM/dd/yyyy")).collect()
+    assert [tuple(r) for r in rows] == [(datetime.date(2024, 1, 2), 3.0)]

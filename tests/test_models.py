@@ -96,6 +96,15 @@ def test_pooled_forest_beats_the_mean_and_repeats(spark, features, tmp_path):
         forests.load_model(spark, str(tmp_path), "A")
 
 
+def test_forest_is_the_same_however_rows_are_dealt(spark, features):
+    train = fc.training_frame(features)
+    sums = []
+    for parts in (2, 7):
+        model = forests.fit_pooled(train.repartition(parts), trees=5, depth=4)
+        sums.append(forests.score(model, features).agg(F.sum(F.rint(F.col("predicted_price") * 1e6))).first()[0])
+    assert sums[0] == sums[1]
+
+
 def test_forest_per_symbol(spark, features, tmp_path):
     split = fc.with_split(fc.training_frame(features))
     models = forests.fit_each(split.where("NOT is_test"), ["A", "B"], trees=5, depth=4)

@@ -9,6 +9,7 @@ ZONE = "America/Chicago"
 CLOSE_HOUR = 15
 MISSING_NAME = "N/A"
 BLANKS = " \t\n\r\x0b\x0c\u00a0"
+# Fixed value: where quote pages are found.
 QUOTE_BASE_URL = "https://finance.yahoo.com/quote/"
 
 # A decimal number as Python's float() reads it; the words nan and inf are left
@@ -54,10 +55,10 @@ def parse_name(heading: Column | str) -> Column:
     )
 
 
-def to_day(text: Column | str) -> Column:
-    """Text to date; unreadable text fails the query."""
+def to_day(text: Column | str, format: str | None = None) -> Column:
+    """Text to date, ISO or of a given format; unreadable text fails the query."""
     text = _col(text)
-    day = F.try_to_date(text)
+    day = F.try_to_date(text, format)
     problem = F.concat(F.lit("not a date: "), text)
     return F.when(text.isNull() | day.isNotNull(), day).otherwise(
         F.raise_error(problem).cast("date")

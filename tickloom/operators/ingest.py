@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.html import element_markup, markup_text
+from tickloom.functions.html import element_markup, markup_text, visible
 from tickloom.functions.scalars import (
     is_after_close,
     local_time,
@@ -89,16 +89,22 @@ def history_prices(
     return clean_prices(unpivot_prices(wide), names)
 
 
-def extract_page_text(pages: DataFrame, elements: Mapping[str, Mapping]) -> DataFrame:
-    """Keeps the page's columns but its source and adds one text per element."""
+def extract_page_text(
+    pages: DataFrame, elements: Mapping[str, Mapping], pieces: Sequence[str] = ()
+) -> DataFrame:
+    """Keeps the page's columns but its source and adds one text per element.
+
+    Elements named in ``pieces`` have each piece of their text trimmed.
+    """
     kept = [c for c in pages.columns if c != "html"]
-    found = pages.select(
+    found = pages.withColumn("html", visible(F.col("html"))).select(
         *kept,
         *[element_markup(F.col("html"), **e).alias(name) for name, e in elements.items()],
     )
-    return found.select(*kept, *[markup_text(F.col(name)).alias(name) for name in elements])
+    return found.select(*kept, *[markup_text(F.col(n), n in pieces).alias(n) for n in elements])
 
 
+# Where a quote page holds its figures.
 QUOTE_ELEMENTS = {
     "_price": {"tag": "span", "attribute": "data-testid", "value": "qsp-price"},
     "_open": {"tag": "fin-streamer", "attribute": "data-field", "value": "regularMarketOpen"},
@@ -113,7 +119,7 @@ def extract_quotes(pages: DataFrame) -> DataFrame:
     that page only.
     """
     usable = F.col("status").between(200, 399) & is_after_close("fetched_at")
-    texts = extract_page_text(pages.where(usable), QUOTE_ELEMENTS)
+    texts = extract_page_text(pages.where(usable), QUOTE_ELEMENTS, ("_price", "_open"))
     return texts.select(
         "symbol",
         parse_name("_heading").alias("name"),

@@ -248,7 +248,8 @@ SQL = {
            LEFT JOIN names n ON s.symbol = n.symbol""",
         "daily", "series", "names",
     ),
-    "date_coerce": "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS date FROM orders",
+    "date_coerce": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date,
+        CAST(o_orderdate AS DATE) AS date_us FROM orders""",
     "clean_prices": sql("SELECT * FROM cleaned ORDER BY date, symbol", *CLEANED),
     "union_history_current": sql(
         "SELECT *, 0 AS source FROM cleaned UNION ALL SELECT *, 1 FROM quotes", *CLEANED, "quotes"

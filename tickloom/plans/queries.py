@@ -44,8 +44,6 @@ PAGE_ELEMENTS = {"title": {"tag": "title"}, "heading": {"tag": "h1"}}
 HEAD_ROWS = 210
 RECENT_MONTHS = 6
 OUTLIER_DEVIATIONS = 2.0
-# A small forest: these queries check the path, not the model.
-TREES, DEPTH = 10, 6
 
 
 def query(run: Query) -> Query:
@@ -198,7 +196,10 @@ def symbol_name_lookup(spark, folder):
 def date_coerce(spark, folder):
     orders = frames.load(spark, folder, "orders")
     text = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return orders.select("o_orderkey", to_day(text).alias("date"))
+    other = F.date_format("o_orderdate", "MM/dd/yyyy")
+    return orders.select(
+        "o_orderkey", to_day(text).alias("date"), to_day(other, "MM/dd/yyyy").alias("date_us")
+    )
 
 
 @query
@@ -475,7 +476,7 @@ def train_models(spark, folder):
     """Fit, save, load; the size of the loaded forest against the rows it saw."""
     _, training, _ = split_training(spark, folder)
     models = scratch_path(spark, "models")
-    forests.save_model(forests.fit_pooled(training, TREES, DEPTH), models)
+    forests.save_model(forests.fit_pooled(training), models)
     forest = forests.load_model(spark, models).stages[-1]
     return training.agg(F.count(F.lit(1)).alias("training_rows")).withColumns(
         {"trees": F.lit(forest.getNumTrees), "nodes": F.lit(forest.totalNumNodes)}
@@ -485,13 +486,13 @@ def train_models(spark, folder):
 @query
 def holdout_metrics(spark, folder):
     _, training, holdout = split_training(spark, folder)
-    model = forests.fit_pooled(training, TREES, DEPTH)
+    model = forests.fit_pooled(training)
     return metrics.holdout_metrics(forests.score(model, holdout))
 
 
 def scored_features(spark, folder) -> DataFrame:
     features, training, _ = split_training(spark, folder)
-    return forests.score(forests.fit_pooled(training, TREES, DEPTH), features)
+    return forests.score(forests.fit_pooled(training), features)
 
 
 @query
@@ -519,7 +520,7 @@ def incremental_ingest(spark, folder):
     for delivery in deliveries:
         delivery.write.mode("append").parquet(f"{base}/landing")
         ingest_new_pages(spark, f"{base}/landing", f"{base}/prices", f"{base}/state")
-    return read_table(spark, f"{base}/prices")
+    return read_table(spark, f"{base}/prices", TABLES["stock_prices"])
 
 
 @query
@@ -534,8 +535,6 @@ def daily_chain(spark, folder):
         history=f"{base}/history",
         pages=f"{base}/pages",
         names={f"L{n}": f"Line {n}" for n in frames.LINES},
-        trees=TREES,
-        depth=DEPTH,
     )
     run_ingest(spark, config)
     run_features(spark, config)

@@ -70,10 +70,13 @@ def upsert(
 ) -> None:
     """Rows of the batch replace stored rows of the same key.
 
-    For small tables such as ``model_eval``. The merged table is written beside the
-    old one first, so the folder being read is never the one being replaced.
+    For small tables such as ``model_eval``. The batch is computed once. The merged
+    table is written beside the old one first, so the folder being read is never the
+    one being replaced.
     """
-    merged = first_per_key(conform(batch, table), table.key, arrival)
+    given = scratch_path(spark, f"{table.name}-batch")
+    first_per_key(conform(batch, table), table.key, arrival).write.parquet(given)
+    merged = spark.read.schema(table.schema).parquet(given)
     if path_exists(spark, path):
         stored = read_table(spark, path, table)
         kept = stored.join(merged.select(*table.key), list(table.key), "left_anti")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.operators.ingest import extract_quotes
+from tickloom.operators.ingest import ARRIVAL, extract_quotes
 from tickloom.schemas import QUOTE_PAGES, TABLES
+from tickloom.sources.sinks import insert_if_absent
 
 PRICES = TABLES["stock_prices"]
 
@@ -25,19 +27,25 @@ def ingest_new_pages(
     checkpoint: str,
     files_per_batch: int | None = None,
 ) -> None:
-    """Append the quotes of files that arrived since the last call, then stop.
+    """Insert the quotes of files that arrived since the last call, then stop.
 
-    Keys seen in any earlier run stay in the query's state, so the first writer of
-    a key wins across runs. Inside one micro-batch the winner of a repeated key is
-    arbitrary: let a file hold a key once, and pass ``files_per_batch=1`` when files
-    of one run may repeat a key.
+    Each micro-batch is a keyed insert like that of the daily ingest, so both may write
+    one table: the first writer of a key wins, and a batch that is repeated after a
+    failure adds nothing twice. Inside a batch the page fetched first wins. Keys are
+    checked in the years of the batch alone, and no key is kept as state.
     """
-    quotes = extract_quotes(page_stream(spark, landing, files_per_batch))
-    fresh = quotes.dropDuplicates(list(PRICES.key)).select(*PRICES.schema.names)
+
+    def insert(batch: DataFrame, number: int) -> None:
+        quotes = extract_quotes(batch)
+        first, last = quotes.agg(F.min("date"), F.max("date")).first()
+        if first is None:
+            return
+        rows = quotes.withColumnRenamed("fetched_at", ARRIVAL)
+        insert_if_absent(batch.sparkSession, rows, PRICES, table_path, dates=(first, last))
+
     query = (
-        fresh.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", table_path)
+        page_stream(spark, landing, files_per_batch)
+        .writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
