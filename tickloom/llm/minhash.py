@@ -404,7 +404,9 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text")
         F.col("id").alias("a"), F.col("rep").alias("b")
     )
     if not more.isEmpty():
-        within = stored(components(links.unionByName(more)), "within")
+        # The stars found before stand for their links: fewer rounds to go.
+        stars = within.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        within = stored(components(stars.unionByName(more)), "within")
     # Classes hang on their representatives, which hang on their components' least.
     roots = classes.select(F.col("rep").alias("id")).distinct().join(within, "id", "left")
     roots = roots.select(F.col("id").alias("rep"), F.coalesce("component", "id").alias("root"))
