@@ -40,9 +40,13 @@ def components(links: DataFrame) -> DataFrame:
         )
         after = stored(hung.select("e.low", "e.high").where("low <> high").distinct(), "small_star")
         # A star is done: every id hangs on one root, and no root hangs on anything.
-        tops = after.groupBy("high").agg(F.count("*").alias("n"), F.min("low").alias("low"))
-        inner = after.select(F.col("low").alias("high")).distinct()
-        open_ = tops.where("n > 1").select("high").unionAll(tops.select("high").join(inner, "high"))
+        both = F.array(
+            F.struct(F.col("high").alias("id"), F.lit(1).alias("hangs")),
+            F.struct(F.col("low").alias("id"), F.lit(0).alias("hangs")),
+        )
+        ends = after.select(F.inline(both)).groupBy("id")
+        open_ = ends.agg(F.sum("hangs").alias("n"), F.min("hangs").alias("least"))
+        open_ = open_.where("n > 1 OR (n = 1 AND least = 0)")
         edges = after
         if open_.isEmpty():
             break
