@@ -351,18 +351,16 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stored(signatures(rows), "signatures")
     usable = signed.where("id IS NOT NULL AND n_shingles > 0")
-    classes = stored(
-        usable.groupBy("set_key").agg(F.min("id").alias("rep")), "classes"
-    )
     # One row per class, the smallest id with the set.
+    signature = F.struct("bits", "bands")
     reps = stored(
-        usable.join(classes, "set_key")
-        .where("id = rep")
-        .groupBy("set_key", "id")
-        .agg(F.first("bits").alias("bits"), F.first("bands").alias("bands"))
-        .select("id", "bits", "bands"),
+        usable.groupBy("set_key")
+        .agg(F.min("id").alias("id"), F.min_by(signature, "id").alias("s"))
+        .select("set_key", "id", "s.bits", "s.bands"),
         "representatives",
     )
+    classes = reps.select("set_key", F.col("id").alias("rep"))
+    reps = reps.drop("set_key")
     banded = reps.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n"))
     # Members of buckets with company.
