@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickloom.operators import dashboard
 from tickloom.plans import frames
 from tickloom.plans.queries import (
     HEAD_ROWS,
@@ -197,6 +198,29 @@ UNPIVOT = " UNION ALL ".join(
     f"SELECT 'L{n}' AS symbol, date, L{n} AS current_price FROM wide" for n in frames.LINES
 )
 
+def outliers(deviations: float) -> str:
+    return sql(
+        f"""SELECT symbol, date, actual, {r('predicted')} AS predicted, {r('residual')} AS residual,
+            {r('deviation')} AS residual_deviation
+            FROM (SELECT symbol, date, y AS actual, p AS predicted, y - p AS residual,
+                         stddev_samp(y - p) OVER (PARTITION BY symbol) AS deviation
+                  FROM compared WHERE y IS NOT NULL AND p IS NOT NULL)
+            WHERE abs(residual) > {deviations}::DOUBLE * deviation""",
+        *COMPARED,
+    )
+
+
+TRAINING = f"""
+    SELECT * FROM (SELECT *, lead(current_price) OVER {W} AS target FROM featured)
+    WHERE name IS NOT NULL AND open_price IS NOT NULL AND percent_change IS NOT NULL
+      AND cumulative_return IS NOT NULL AND ma_10_day IS NOT NULL AND ma_30_day IS NOT NULL
+      AND volatility_30_day IS NOT NULL AND ema_10 IS NOT NULL AND ema_30 IS NOT NULL
+      AND target IS NOT NULL"""
+
+IS_TEST = """row_number() OVER (PARTITION BY symbol ORDER BY md5(concat(symbol, '|', date, '|42')), date)
+    <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY symbol))"""
+
+
 SQL = {
     "wide_csv_scan": sql("SELECT * FROM wide", "wide"),
     "quote_extract": sql("SELECT * FROM quotes", "daily", "quotes"),
@@ -262,19 +286,20 @@ SQL = {
     "symbol_filter": sql("SELECT * FROM series WHERE symbol = 'S1'", "daily", "series"),
     "training_frame": sql(
         f"""SELECT symbol, date, open_price, percent_change, {ROUNDED_FIGURES}, target
-            FROM (SELECT *, lead(current_price) OVER {W} AS target FROM featured)
-            WHERE name IS NOT NULL AND open_price IS NOT NULL AND percent_change IS NOT NULL
-              AND cumulative_return IS NOT NULL AND ma_10_day IS NOT NULL AND ma_30_day IS NOT NULL
-              AND volatility_30_day IS NOT NULL AND ema_10 IS NOT NULL AND ema_30 IS NOT NULL
-              AND target IS NOT NULL""",
-        *CLEANED, **CLEANED_FEATURES,
+            FROM training""",
+        *CLEANED, **CLEANED_FEATURES, training=TRAINING,
     ),
     "train_test_split": sql(
-        """SELECT symbol, date,
-                  row_number() OVER (PARTITION BY symbol ORDER BY md5(concat(symbol, '|', date, '|42')), date)
-                  <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY symbol)) AS is_test
-           FROM series""",
-        "daily", "series",
+        f"SELECT symbol, date, {IS_TEST} AS is_test FROM series", "daily", "series"
+    ),
+    "holdout_metrics_of_mean": sql(
+        f"""SELECT symbol, count(*) AS "rows", {r('avg((target - ma_10_day) ^ 2)', 2)} AS mse,
+            {r('''CASE WHEN regr_count(target, ma_10_day) < 2 THEN NULL
+                  WHEN regr_syy(target, ma_10_day) = 0
+                  THEN CASE WHEN sum((target - ma_10_day) ^ 2) = 0 THEN 1.0 ELSE 0.0 END
+                  ELSE 1 - sum((target - ma_10_day) ^ 2) / regr_syy(target, ma_10_day) END''')} AS r_squared
+            FROM (SELECT *, {IS_TEST} AS is_test FROM training) WHERE is_test GROUP BY symbol""",
+        *CLEANED, **CLEANED_FEATURES, training=TRAINING,
     ),
     "warmup_trim": sql(
         f"""SELECT symbol, date, current_price FROM
@@ -361,15 +386,8 @@ SQL = {
             WHERE y IS NOT NULL AND p IS NOT NULL""",
         *COMPARED,
     ),
-    "residual_outliers": sql(
-        f"""SELECT symbol, date, actual, {r('predicted')} AS predicted, {r('residual')} AS residual,
-            {r('deviation')} AS residual_deviation
-            FROM (SELECT symbol, date, y AS actual, p AS predicted, y - p AS residual,
-                         stddev_samp(y - p) OVER (PARTITION BY symbol) AS deviation
-                  FROM compared WHERE y IS NOT NULL AND p IS NOT NULL)
-            WHERE abs(residual) > {OUTLIER_DEVIATIONS}::DOUBLE * deviation""",
-        *COMPARED,
-    ),
+    "residual_outliers": outliers(OUTLIER_DEVIATIONS),
+    "residual_outliers_by_rule": outliers(dashboard.OUTLIER_DEVIATIONS),
     "recent_period": sql(
         f"""SELECT * FROM series WHERE date >=
             (SELECT CAST(max(date) - INTERVAL {RECENT_MONTHS} MONTH AS DATE) FROM series)""",

@@ -452,6 +452,13 @@ def residual_outliers(spark, folder):
     return rounded(rows, "predicted", "residual", "residual_deviation")
 
 
+@query
+def residual_outliers_by_rule(spark, folder):
+    """With the rule's own number of deviations."""
+    rows = dashboard.residual_outliers(standin_points(spark, folder))
+    return rounded(rows, "predicted", "residual", "residual_deviation")
+
+
 @query
 def recent_period(spark, folder):
     return dashboard.recent_period(frames.series(spark, folder), RECENT_MONTHS)
@@ -490,6 +497,14 @@ def holdout_metrics(spark, folder):
     return metrics.holdout_metrics(forests.score(model, holdout))
 
 
+@query
+def holdout_metrics_of_mean(spark, folder):
+    """The same rows with the ten-row mean as forecast, which any engine can repeat."""
+    rows = fc.with_split(fc.training_frame(frames.features(spark, folder))).where("is_test")
+    found = metrics.holdout_metrics(rows.withColumn("predicted_price", F.col("ma_10_day")))
+    return rounded(rounded(found, "r_squared"), "mse", digits=2)
+
+
 def scored_features(spark, folder) -> DataFrame:
     features, training, _ = split_training(spark, folder)
     return forests.score(forests.fit_pooled(training), features)
