@@ -5,7 +5,8 @@ Inverted lists hold the vectors under every two of their first pivots, so that t
 vectors meet in as many lists as they share pairs of pivots; the number of pivots
 shared follows from it. Vectors that meet are verified by their cosine.
 
-Pivots are vectors of the table. Their number grows with the square root of the
+Pivots are vectors of the table that lie apart, so that a dense group shares its
+pivots. Their number grows with the square root of the
 table, which keeps lists short. A list is compared block by block on arrays: links
 are counted and spanned by a forest inside a block pair, never emitted pair by pair.
 """
@@ -37,12 +38,33 @@ def choose_pivots(vectors: DataFrame, seed: int = 0) -> np.ndarray:
     """Pivots by a hash of ids: a bounded sample, the same on every run."""
     total = vectors.count()
     wanted = min(int(LEAST_PIVOTS + PIVOT_FACTOR * math.sqrt(total)), MOST_PIVOTS)
+    # Twice as many are drawn, as those of dense groups are thinned.
     order = F.xxhash64(F.lit(seed), F.col("vec_id"))
-    rows = vectors.select("v", order.alias("o"), "vec_id").orderBy("o", "vec_id").limit(wanted)
+    rows = vectors.select("v", order.alias("o"), "vec_id").orderBy("o", "vec_id").limit(2 * wanted)
     found = [r[0] for r in rows.select("v").collect()]
     width = max(map(len, found), default=0)
     same = [v for v in found if len(v) == width]
-    return normalised(np.array(same, np.float64).reshape(len(same), width))
+    return thinned(normalised(np.array(same, np.float64).reshape(len(same), width)), wanted)
+
+
+def thinned(drawn: np.ndarray, wanted: int, cosine: float = COSINE) -> np.ndarray:
+    """The first ``wanted`` of the pivots drawn that lie apart.
+
+    Members of a dense group that filled up with pivots would share too few of their
+    nearest ones. Apart is beyond twice the angle of a link, or less where that leaves
+    too few to tell vectors apart.
+    """
+    angle = 2 * math.acos(cosine)
+    for apart in (angle, angle / 2, angle / 4):
+        kept = np.empty_like(drawn)
+        count = 0
+        for v in drawn:
+            if count < wanted and (kept[:count] @ v < math.cos(apart)).all():
+                kept[count] = v
+                count += 1
+        if count >= min(wanted, 4 * PREFIX):
+            return kept[:count]
+    return drawn[:wanted]
 
 
 def normalised(vectors: np.ndarray) -> np.ndarray:
