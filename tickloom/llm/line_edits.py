@@ -26,6 +26,8 @@ from tickloom.llm.common import ship_code, stored
 
 EDITS = 2
 MIN_WORDS = 8
+#: Characters besides blanks that a document's short lines need to stay without others.
+LEFT_CHARS = 60
 #: Buckets up to this many lines are paired by a join, others block by block.
 SMALL_BUCKET = 32
 VERIFY_PAIRS = 2048
@@ -158,6 +160,11 @@ def has_words(line: Column, count: int) -> Column:
     return line.rlike(f"^{gap}*+(?:{word}++{gap}++){{{count - 1}}}{word}")
 
 
+def has_chars(line: Column, count: int) -> Column:
+    """Whether a line has so many characters besides blanks; stops at the last one needed."""
+    return line.rlike(rf"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]){{{count}}}")
+
+
 def repeated_lines(
     docs: DataFrame,
     row_id: str = "doc_id",
@@ -307,9 +314,9 @@ def remaining(
 ) -> DataFrame:
     """Documents without their repeated lines.
 
-    A document that keeps none of its lines of enough words repeats others and goes
-    as a whole: headings alone are not left behind. Documents that lose no line are
-    unchanged.
+    A document that keeps none of its lines of enough words, and fewer than LEFT_CHARS
+    characters of others, goes as a whole: a heading alone is not left behind.
+    Documents that lose no line are unchanged.
     """
     lists = dropped.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
     joined = docs.join(lists, F.col(row_id).eqNullSafe(F.col("_doc")), "left")
@@ -320,4 +327,5 @@ def remaining(
     joined = joined.withColumn("_kept", F.when(touched, kept))
     own = F.exists("_kept", lambda x: has_words(x, min_words))
     body = F.when(touched, F.array_join("_kept", LINE_END)).otherwise(F.col(text))
+    own |= has_chars(F.array_join("_kept", LINE_END), LEFT_CHARS)
     return joined.where(~touched | own).withColumn(text, body).select(*docs.columns)
