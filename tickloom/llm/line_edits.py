@@ -7,8 +7,8 @@ of the longer line are probed with substrings of the shorter lines' index, by le
 and candidates are verified by an edit distance on bit vectors of the band.
 
 Links are not chained: a line goes because a line before it is near, whether or not
-that one goes too. Lines with fewer than MIN_WORDS words stay, as headings and short
-answers repeat in clean documents.
+that one goes too. Lines with fewer than MIN_WORDS words and fewer than MIN_CHARS
+characters besides blanks stay, as headings and short answers repeat in clean documents.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from tickloom.llm.common import ship_code, stored
 
 EDITS = 2
 MIN_WORDS = 8
+#: Characters besides blanks that make up for words, as in text without blanks.
+MIN_CHARS = 40
 #: Characters besides blanks that a document's short lines need to stay without others.
 LEFT_CHARS = 60
 #: Buckets up to this many lines are paired by a join, others block by block.
@@ -148,10 +150,14 @@ def near_pairs(left: list[str], right: list[str], edits: int = EDITS) -> np.ndar
 
 
 def occurrences(docs: DataFrame, row_id: str, text: str, min_words: int) -> DataFrame:
-    """(doc, line_no, line) of every line with enough words."""
+    """(doc, line_no, line) of every line with enough words or characters."""
     lines = F.split(F.col(text), LINE_END)
     rows = docs.select(F.col(row_id).alias("doc"), F.posexplode(lines).alias("line_no", "line"))
-    return rows.where(has_words(F.col("line"), min_words))
+    return rows.where(is_long(F.col("line"), min_words))
+
+
+def is_long(line: Column, min_words: int) -> Column:
+    return has_words(line, min_words) | has_chars(line, MIN_CHARS)
 
 
 def has_words(line: Column, count: int) -> Column:
@@ -314,7 +320,7 @@ def remaining(
 ) -> DataFrame:
     """Documents without their repeated lines.
 
-    A document that keeps none of its lines of enough words, and fewer than LEFT_CHARS
+    A document that keeps none of its long lines, and fewer than LEFT_CHARS
     characters of others, goes as a whole: a heading alone is not left behind.
     Documents that lose no line are unchanged.
     """
@@ -325,7 +331,7 @@ def remaining(
     )
     touched = F.col("_gone").isNotNull()
     joined = joined.withColumn("_kept", F.when(touched, kept))
-    own = F.exists("_kept", lambda x: has_words(x, min_words))
+    own = F.exists("_kept", lambda x: is_long(x, min_words))
     body = F.when(touched, F.array_join("_kept", LINE_END)).otherwise(F.col(text))
     own |= has_chars(F.array_join("_kept", LINE_END), LEFT_CHARS)
     return joined.where(~touched | own).withColumn(text, body).select(*docs.columns)
