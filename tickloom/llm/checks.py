@@ -125,3 +125,71 @@ m AS (SELECT id, min(seen) AS least FROM reach GROUP BY id)
 SELECT m.id AS doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.least AS component_id, m.least = m.id AS kept
 FROM m LEFT JOIN n ON n.doc_id = m.id
 """
+
+SQL["op12_infill"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+p AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT *, least(a, b) AS low, greatest(a, b) AS high, substr(t, 1, least(a, b)) AS x,
+         substr(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS y, substr(t, greatest(a, b) + 1) AS z
+  FROM p)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+              ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+"""
+
+
+def _cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Lloyd's rounds on integers, one after the other."""
+    apart = "list_sum(list_transform(list_zip(p.q, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = [
+        f"""
+p AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, q AS v
+  FROM p ORDER BY 1 LIMIT {clusters})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""
+a{i} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := {apart}, c := c.c)) AS m FROM p, c{i} c GROUP BY r)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""
+s{i} AS (
+  SELECT m.c AS c, i, sum(q[i])::BIGINT AS s, count(*) AS n
+  FROM a{i} JOIN p USING (r), range(1, 65) AS w(i) GROUP BY 1, 2),
+n{i} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN n{i} n ON n.c = o.c)"""
+            )
+    return f"""
+WITH {",".join(steps)}
+SELECT p.vec_id, m.c::INTEGER AS cluster, m.d AS distance,
+       sum(m.d) OVER (PARTITION BY m.c)::BIGINT AS cluster_inertia, sum(m.d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN p USING (r) JOIN c{rounds} f ON f.c = m.c
+"""
+
+
+SQL["op13_shallot_clusters"] = _cluster_sql()

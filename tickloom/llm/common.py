@@ -28,6 +28,12 @@ def stored(rows: DataFrame, label: str, compression: str = "snappy") -> DataFram
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the Python workers of the session, once."""
     context = spark.sparkContext

@@ -8,14 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, langid, line_edits, minhash, mixing, pivots, quality
-from tickloom.llm import sharding, token_files
+from tickloom.llm import bpe, centroids, chat, infill, langid, line_edits, minhash, mixing
+from tickloom.llm import pivots, quality, sharding, token_counts, token_files
 from tickloom.llm.common import load, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SHARDS = 16
+TOKEN_LIMIT = 2048
 END_ID = 0
 
 
@@ -186,3 +187,28 @@ def op10_bbit_minhash(spark, folder):
         F.col("id").alias("doc_id"), "n_shingles", "component_id",
         (F.col("id") == F.col("component_id")).alias("kept"),
     )
+
+
+@query
+def op11_token_counts(spark, folder):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    counts = token_counts.count_tokens(load(spark, folder, "documents"), vocabulary)
+    return counts.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
+@query
+def op12_infill(spark, folder):
+    rows = infill.infill(load(spark, folder, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n", "form",
+        F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_shallot_clusters(spark, folder):
+    return centroids.clustered(load(spark, folder, "embeddings"))
