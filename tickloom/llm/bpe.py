@@ -14,7 +14,9 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tickloom.llm.common import ship_code
@@ -392,6 +394,47 @@ def decode_documents(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> D
     return rows.mapInArrow(run, schema)
 
 
+def encode_and_decode(docs: DataFrame, ranks_path: str, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ids, decoded) of every row: ids of the whole text, and their bytes.
+
+    One pass and one rank table a task serve both directions, and the text does not
+    come back. Null is encoded as the empty text, which has no ids and no bytes.
+    Repeated rows stay, an empty table gives none, further columns are not read.
+    """
+    ship_code(docs.sparkSession)
+    rows = docs.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = load_ranks(ranks_path)
+        for batch in batches:
+            column, at = batch.column(1), 0
+            for a, count in bounded_runs(column):
+                texts = [x or "" for x in column.slice(a, count).to_pylist()]
+                for ids, counts in encode_texts(texts, ranks.pieces):
+                    stops = np.cumsum(counts)
+                    parts = [ids[s - n : s] for n, s in zip(counts.tolist(), stops.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(at, len(parts)),
+                         pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary()),
+                         pa.array([ranks.decode(p).tobytes() for p in parts], pa.binary())],
+                        ["id", "ids", "decoded"],
+                    )
+                    at += len(parts)
+
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids binary, decoded binary")
+
+
+def bounded_runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of some megabytes, so that few texts are copied at once."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at, seen = 0, 0
+    while at < len(texts):
+        stop = int(np.searchsorted(sizes, seen + 4 * CHUNK_CHARS, "right"))
+        stop = max(stop, at + 1)
+        yield at, stop - at
+        at, seen = stop, int(sizes[stop - 1])
+
+
 def _binary(*names: str) -> list[StructField]:
     return [StructField(n, BinaryType()) for n in names]
 

@@ -78,5 +78,14 @@ def whole_row_hash(rows: DataFrame) -> Column:
     return F.xxhash64(*plain)
 
 
+def packed(rows: DataFrame, *names: str) -> DataFrame:
+    """All columns as one struct ``row``, and some of them beside it.
+
+    Helper columns that are added to it cannot clash with those of the input;
+    ``select("row.*")`` unpacks.
+    """
+    return rows.select(F.struct(*(F.col(c) for c, _ in quoted(rows))).alias("row"), *names)
+
+
 def quoted(rows: DataFrame) -> list[tuple[str, str]]:
     return [(f"`{c.replace('`', '``')}`", t) for c, t in rows.dtypes]

@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.blocks import block_pairs
-from tickloom.llm.common import ship_code, stored
+from tickloom.llm.common import packed, ship_code, stored
 
 EDITS = 2
 MIN_WORDS = 8
 #: Characters besides blanks that make up for words, as in text without blanks.
 MIN_CHARS = 40
-#: Characters besides blanks that a document's short lines need to stay without others.
-LEFT_CHARS = 60
+#: The line number that stands for all lines of a document.
+WHOLE = -1
+SALTS = 16
 #: Buckets up to this many lines are paired by a join, others block by block.
 SMALL_BUCKET = 32
 VERIFY_PAIRS = 2048
@@ -311,27 +312,53 @@ def _letters(lines: list[str]) -> np.ndarray:
     return out
 
 
+def repeated_texts(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, line_no, near) of documents whose whole text equals that of an earlier one.
+
+    ``line_no`` is WHOLE: all lines go, short ones included. Texts too short for a line
+    that counts do not count either. A null id sorts first; rows that repeat an id and
+    a text are one document.
+    """
+    whole = docs.where(is_long(F.col(text), MIN_WORDS)).select(
+        F.col(row_id).alias("doc"),
+        F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y")).alias("digest"),
+    )
+    first = whole.groupBy("digest").agg(F.min(F.struct("doc")).alias("first"), F.count("*").alias("n"))
+    # A text may be that of a third of all documents: its copies are spread over salts.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    first = first.where("n > 1").select("digest", "first", salts.alias("salt"))
+    salt = F.pmod(F.xxhash64("doc", F.lit(2)), F.lit(SALTS)).cast("int")
+    later = whole.withColumn("salt", salt).join(first, ["digest", "salt"])
+    return later.where(~F.struct("doc").eqNullSafe(F.col("first"))).select(
+        "doc", F.lit(WHOLE).alias("line_no"), F.lit(False).alias("near")
+    )
+
+
 def remaining(
     docs: DataFrame,
     dropped: DataFrame,
     row_id: str = "doc_id",
     text: str = "text",
-    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """Documents without their repeated lines.
 
-    A document that keeps none of its long lines, and fewer than LEFT_CHARS
-    characters of others, goes as a whole: a heading alone is not left behind.
-    Documents that lose no line are unchanged.
+    A document goes as a whole if it repeats an earlier one, if no word is left, or if
+    the lines that go make up most of it (by characters besides blanks): what is left
+    of a copy with changes should not pass for a document. Others keep all their other
+    lines, short ones included. Documents that lose no line are unchanged, null texts
+    among them; further columns are kept whatever their names.
     """
-    lists = dropped.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.join(lists, F.col(row_id).eqNullSafe(F.col("_doc")), "left")
-    kept = F.filter(
-        F.split(F.col(text), LINE_END), lambda x, i: ~F.array_contains(F.col("_gone"), i)
-    )
-    touched = F.col("_gone").isNotNull()
-    joined = joined.withColumn("_kept", F.when(touched, kept))
-    own = F.exists("_kept", lambda x: is_long(x, min_words))
-    body = F.when(touched, F.array_join("_kept", LINE_END)).otherwise(F.col(text))
-    own |= has_chars(F.array_join("_kept", LINE_END), LEFT_CHARS)
-    return joined.where(~touched | own).withColumn(text, body).select(*docs.columns)
+    rows = packed(docs, F.col(row_id).alias("id"), F.col(text).alias("body"))
+    lists = dropped.groupBy(F.col("doc").alias("known")).agg(F.collect_set("line_no").alias("gone"))
+    joined = rows.join(lists, F.col("id").eqNullSafe(F.col("known")), "left")
+    kept = F.filter(F.split("body", LINE_END), lambda x, i: ~F.array_contains(F.col("gone"), i))
+    touched = F.col("gone").isNotNull()
+    joined = joined.withColumn("left", F.when(touched, F.array_join(kept, LINE_END)))
+
+    def chars(value: Column) -> Column:
+        return F.length(F.regexp_replace(value, r"[\x20\x09-\x0D]+", ""))
+
+    most = 2 * chars(F.col("left")) < chars(F.col("body"))
+    goes = touched & (F.array_contains("gone", WHOLE) | most | (chars(F.col("left")) == 0))
+    changed = F.col("row").withField(f"`{text}`", F.coalesce("left", "body"))
+    return joined.where(~F.coalesce(goes, F.lit(False))).select(changed.alias("row")).select("row.*")

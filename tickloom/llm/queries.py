@@ -122,9 +122,8 @@ def op5_chat_format(spark, folder):
 def encoded_and_decoded(docs: DataFrame) -> DataFrame:
     """Digests of the ids of whole texts and of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode_documents(docs.select("doc_id", "text"), ranks).select("doc_id", "ids")
-    return bpe.decode_documents(encoded, ranks).select(
-        "doc_id",
+    return bpe.encode_and_decode(docs, ranks).select(
+        F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
