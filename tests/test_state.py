@@ -1,0 +1,142 @@
+"""Features from a carried state, and tables that are replaced at once."""
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import day
+from tickloom.operators import ema
+from tickloom.operators.features import add_features, feature_state
+from tickloom.schemas import TABLES
+from tickloom.sources import sinks
+from tickloom.sources.tables import path_exists, read_table
+from tickloom.sources.versions import current_path, replace_table, versions_of
+
+PRICES = "symbol string, date date, current_price double"
+
+
+def prices_with_gaps(seed, length=150):
+    """Dense, sparse and late symbols; some begin with a gap, one never has a price."""
+    rng, rows = random.Random(seed), []
+    for s in range(9):
+        price, d = rng.uniform(20, 90), rng.choice([0, 0, 40, 100])
+        while d < length:
+            price *= rng.uniform(0.95, 1.05)
+            gap = s == 8 or rng.random() < 0.15 or (s == 3 and d < 20)
+            rows.append((f"S{s}", day(d), None if gap else price))
+            d += 1 if s % 3 else rng.choice([1, 1, 9])
+    return rows
+
+
+def as_rows(frame):
+    return {
+        (r.symbol, r.date): [None if v is None else pytest.approx(v, rel=1e-9, abs=1e-9) for v in r[2:]]
+        for r in frame.collect()
+    }
+
+
+def same(got, wanted):
+    found = {(r.symbol, r.date): list(r[2:]) for r in got.collect()}
+    assert found == as_rows(wanted)
+
+
+@pytest.mark.parametrize("chunk", [1024, 7])
+def test_going_on_from_a_state_is_a_run_over_everything(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ema, "chunk_days", lambda spans: chunk)
+    prices = spark.createDataFrame(prices_with_gaps(3), PRICES)
+    whole = add_features(prices)
+    for cut in (0, 33, 90):
+        before = prices.where(F.col("date") <= F.lit(day(cut)))
+        # The rows up to the state's day do not count again.
+        after = prices.where(F.col("date") >= F.lit(day(cut - 5)))
+        later = add_features(after, state=feature_state(before))
+        same(later, whole.join(
+            before.groupBy("symbol").agg(F.max("date").alias("_m")), "symbol", "left"
+        ).where("_m IS NULL OR date > _m").drop("_m"))
+
+
+def test_states_of_day_after_day(spark, tmp_path):
+    prices = spark.createDataFrame(prices_with_gaps(4, 60), PRICES)
+    state = feature_state(prices.where(F.col("date") <= F.lit(day(55))))
+    for d in (56, 57, 58, 59):
+        path = str(tmp_path / f"state{d}")
+        feature_state(prices.where(F.col("date") == F.lit(day(d))), state).write.parquet(path)
+        state = spark.read.parquet(path)
+    wanted = {r.symbol: r for r in feature_state(prices).collect()}
+    got = {r.symbol: r for r in state.collect()}
+    assert set(got) == set(wanted) and len(got) > 5
+    for symbol, row in wanted.items():
+        assert got[symbol][:3] == row[:3]
+        assert len(row.tail) == min(30, prices.where(F.col("symbol") == symbol).count())
+        # Rows since the last price mean nothing before there is one.
+        known = [v for v in row[3:5]] + ([row.trailing] if row.last_price is not None else [])
+        assert [v for v in got[symbol][3:5]] + (
+            [got[symbol].trailing] if row.last_price is not None else []
+        ) == known
+        assert list(got[symbol][6:]) == [None if v is None else pytest.approx(v) for v in row[6:]]
+
+
+def test_state_of_nothing(spark):
+    none = spark.createDataFrame([], PRICES)
+    assert feature_state(none).collect() == []
+    assert add_features(none, state=feature_state(none)).collect() == []
+
+
+def test_state_has_its_declared_columns(spark):
+    state = feature_state(spark.createDataFrame(prices_with_gaps(1, 40), PRICES))
+    wanted = [(f.name, f.dataType.simpleString()) for f in TABLES["feature_state"].schema.fields]
+    assert state.dtypes == wanted
+
+
+EVAL = TABLES["model_eval"]
+
+
+def metrics(spark, **mae):
+    rows = [(s, 0.5, float(v), 1.0, 1.0, 0.5) for s, v in mae.items()]
+    return spark.createDataFrame(rows, EVAL.schema)
+
+
+def stored(spark, path):
+    return {r.symbol: r.mae for r in read_table(spark, path, EVAL).collect()}
+
+
+def test_upsert_is_seen_at_once_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "model_eval")
+    sinks.insert_if_absent(spark, metrics(spark, A=1, B=2), EVAL, path)
+    failing = metrics(spark, B=9).withColumn(
+        "rmse", F.when(F.col("symbol") != "B", 1.0).otherwise(F.raise_error(F.lit("lost")).cast("double"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        sinks.upsert(spark, failing, EVAL, path)
+    assert stored(spark, path) == {"A": 1, "B": 2}
+    sinks.upsert(spark, metrics(spark, B=3, C=4), EVAL, path)
+    assert stored(spark, path) == {"A": 1, "B": 3, "C": 4}
+    # Later inserts and replacements go on from the current version.
+    sinks.insert_if_absent(spark, metrics(spark, C=7, D=5), EVAL, path)
+    assert stored(spark, path) == {"A": 1, "B": 3, "C": 4, "D": 5}
+    open_ = read_table(spark, path, EVAL)
+    sinks.upsert(spark, metrics(spark, A=6), EVAL, path)
+    assert {r.symbol: r.mae for r in open_.collect()} == {"A": 1, "B": 3, "C": 4, "D": 5}
+    assert stored(spark, path) == {"A": 6, "B": 3, "C": 4, "D": 5}
+
+
+def test_a_version_without_pointer_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "state")
+    metrics(spark, A=1).write.parquet(f"{versions_of(path)}/half")
+    assert not path_exists(spark, path) and current_path(spark, path) == path
+    replace_table(metrics(spark, B=2), path)
+    replace_table(read_table(spark, path, EVAL).withColumn("mae", F.lit(3.0)), path)
+    replace_table(read_table(spark, path, EVAL).withColumn("mae", F.col("mae") + 1), path)
+    assert stored(spark, path) == {"B": 4.0}
+    kept = [p for p in (tmp_path / "state.versions").iterdir() if p.is_dir()]
+    assert len(kept) == 2
+
+
+def test_a_dated_table_is_not_upserted(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("A", "a", datetime.date(2024, 1, 1), 1.0, 1.0)], TABLES["stock_prices"].schema
+    )
+    with pytest.raises(ValueError):
+        sinks.upsert(spark, rows, TABLES["stock_prices"], str(tmp_path / "prices"))

@@ -114,11 +114,11 @@ def summary_columns(spans: Sequence[int]) -> dict[str, str]:
 
 
 def carry_fold(chunks: DataFrame, spans: Sequence[int], keep: Sequence[str]) -> DataFrame:
-    """Per chunk: ``keep``, ``_carry_<span>`` and ``_open_<span>``.
+    """Per chunk: ``keep``, ``_trailing``, ``_carry_<span>`` and ``_open_<span>``.
 
-    The first is the average before the chunk, the second the one at its first
-    known price. One row per chunk goes in, so a symbol is at most a few thousand
-    small structs.
+    ``_trailing`` counts the rows before the chunk since the last known price. A carry
+    is the average before the chunk, an open the one at its first known price. One row
+    per chunk goes in, so a symbol is at most a few thousand small structs.
     """
     fields = [CHUNK, "_rows", "_first_at", "_last_at", "_first_price"]
     for s in spans:
@@ -127,12 +127,12 @@ def carry_fold(chunks: DataFrame, spans: Sequence[int], keep: Sequence[str]) ->
     grouped = chunks.groupBy("symbol").agg(ordered.alias("_chunks"))
 
     names = [f"{part}_{s}" for s in spans for part in ("_carry", "_open")]
-    entry_type = ", ".join(f"{name}: double" for name in names)
+    entry_type = ", ".join(["_trailing: bigint", *(f"{name}: double" for name in names)])
     start = ", ".join(
         [f"'done', cast(array() AS array<struct<{entry_type}>>)", "'trailing', 0L"]
         + [f"'ema_{s}', cast(null AS double)" for s in spans]
     )
-    entry, averages = [], []
+    entry, averages = ["'_trailing', state.trailing"], []
     for s in spans:
         old = f"state.ema_{s}"
         weight = share(s, "(state.trailing + chunk._first_at)")
@@ -158,7 +158,7 @@ def carry_fold(chunks: DataFrame, spans: Sequence[int], keep: Sequence[str]) ->
     return pairs.selectExpr(
         "symbol",
         *[f"p._chunks.{name}" for name in (CHUNK, *keep)],
-        *[f"p.done.{name}" for name in names],
+        *[f"p.done.{name}" for name in ("_trailing", *names)],
     )
 
 

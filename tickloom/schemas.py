@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -62,6 +64,21 @@ MODEL_EVAL = StructType(
     ]
 )
 
+# What features of later rows need of a symbol's past.
+FEATURE_STATE = StructType(
+    [
+        StructField("symbol", StringType()),
+        StructField("last_date", DateType()),
+        StructField(
+            "tail",
+            ArrayType(StructType([StructField("date", DateType()), *_doubles("current_price", "known")])),
+        ),
+        *_doubles("first_price", "last_price"),
+        StructField("trailing", LongType()),
+        *_doubles("ema_10", "ema_30"),
+    ]
+)
+
 QUOTE_PAGES = StructType(
     [
         StructField("symbol", StringType()),
@@ -92,5 +109,6 @@ TABLES = {
         Table("full_stock_calculations", FULL_STOCK_CALCULATIONS, ("symbol", "date")),
         Table("predicted_stock_prices", PREDICTED_STOCK_PRICES, ("symbol", "date")),
         Table("model_eval", MODEL_EVAL, ("symbol",)),
+        Table("feature_state", FEATURE_STATE, ("symbol",)),
     )
 }

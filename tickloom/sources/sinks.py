@@ -13,6 +13,7 @@ from tickloom.operators.ingest import ARRIVAL, absent_rows, first_per_key
 from tickloom.schemas import Table
 from tickloom.session import scratch_path
 from tickloom.sources.tables import YEAR, conform, path_exists, read_range, read_table
+from tickloom.sources.versions import current_path, replace_table
 
 # Task output becomes visible only when the whole job commits.
 ALL_OR_NOTHING = {"mapreduce.fileoutputcommitter.algorithm.version": "1"}
@@ -58,7 +59,7 @@ def insert_if_absent(
         else:
             existing = read_table(spark, path, table)
     fresh = absent_rows(batch, existing, table.key, arrival, unique)
-    _write(fresh, table, path, "append")
+    _write(fresh, table, current_path(spark, path), "append")
 
 
 def upsert(
@@ -70,17 +71,18 @@ def upsert(
 ) -> None:
     """Rows of the batch replace stored rows of the same key.
 
-    For small tables such as ``model_eval``. The batch is computed once. The merged
-    table is written beside the old one first, so the folder being read is never the
-    one being replaced.
+    For small tables such as ``model_eval``. The merged table becomes visible at once
+    and as a whole; if writing it fails, the stored rows stay as they are.
     """
-    given = scratch_path(spark, f"{table.name}-batch")
-    first_per_key(conform(batch, table), table.key, arrival).write.parquet(given)
-    merged = spark.read.schema(table.schema).parquet(given)
+    fresh = first_per_key(conform(batch, table), table.key, arrival)
     if path_exists(spark, path):
+        # The batch is computed once, though the merge reads it twice.
+        given = scratch_path(spark, f"{table.name}-batch")
+        fresh.write.parquet(given)
+        fresh = spark.read.schema(table.schema).parquet(given)
         stored = read_table(spark, path, table)
-        kept = stored.join(merged.select(*table.key), list(table.key), "left_anti")
-        merged = merged.unionByName(kept.select(*merged.columns))
-    staged = scratch_path(spark, table.name)
-    merged.write.options(**ALL_OR_NOTHING).parquet(staged)
-    _write(spark.read.schema(table.schema).parquet(staged), table, path, "overwrite")
+        kept = stored.join(fresh.select(*table.key), list(table.key), "left_anti")
+        fresh = fresh.unionByName(kept.select(*fresh.columns))
+    if table.dated:
+        raise ValueError(f"{table.name} is split by year; upsert is for undated tables")
+    replace_table(fresh.hint("rebalance"), path, **ALL_OR_NOTHING)

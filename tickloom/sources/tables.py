@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.schemas import Table
+from tickloom.sources.versions import current_path
 
 YEAR = "_year"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Whether a table has been written, at its own path or as a version."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(current_path(spark, path))
     filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return filesystem.exists(hadoop_path)
 
@@ -22,8 +24,10 @@ def read_table(spark: SparkSession, path: str, table: Table | None = None) -> Da
     """Every row of a Parquet table; a missing table is an error.
 
     With ``table`` the declared columns are read. Filters on ``date`` reach the
-    scan, where row groups and files outside the range are skipped.
+    scan, where row groups and files outside the range are skipped. Of a table that was
+    replaced the current version is read.
     """
+    path = current_path(spark, path)
     if table is None:
         return spark.read.parquet(path)
     return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
@@ -33,7 +37,7 @@ def read_range(spark: SparkSession, path: str, table: Table, first, last) -> Dat
     """Rows of a dated table between two dates, reading only the years they touch."""
     first, last = F.lit(first).cast("date"), F.lit(last).cast("date")
     schema = table.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    rows = spark.read.schema(f"{schema}, {YEAR} int").parquet(path)
+    rows = spark.read.schema(f"{schema}, {YEAR} int").parquet(current_path(spark, path))
     return rows.where(
         F.col(YEAR).between(F.year(first), F.year(last))
         & F.col("date").between(first, last)
