@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import day
 from tickloom.operators import ema
 from tickloom.operators.features import add_features, feature_state
-from tickloom.schemas import TABLES
+from tickloom.schemas import STATES, TABLES
 from tickloom.sources import sinks
 from tickloom.sources.tables import path_exists, read_table
 from tickloom.sources.versions import current_path, replace_table, versions_of
@@ -86,7 +86,7 @@ def test_state_of_nothing(spark):
 
 def test_state_has_its_declared_columns(spark):
     state = feature_state(spark.createDataFrame(prices_with_gaps(1, 40), PRICES))
-    wanted = [(f.name, f.dataType.simpleString()) for f in TABLES["feature_state"].schema.fields]
+    wanted = [(f.name, f.dataType.simpleString()) for f in STATES["feature_state"].schema.fields]
     assert state.dtypes == wanted
 
 

@@ -79,6 +79,19 @@ FEATURE_STATE = StructType(
     ]
 )
 
+# Sums that metrics of a symbol follow from, and its last row.
+METRIC_STATE = StructType(
+    [
+        StructField("symbol", StringType()),
+        StructField("last_date", DateType()),
+        *_doubles("last_actual", "last_predicted"),
+        StructField("pairs", LongType()),
+        *_doubles("mean_actual", "actual_spread", "absolute_error", "squared_error"),
+        StructField("steps", LongType()),
+        StructField("matches", LongType()),
+    ]
+)
+
 QUOTE_PAGES = StructType(
     [
         StructField("symbol", StringType()),
@@ -109,6 +122,15 @@ TABLES = {
         Table("full_stock_calculations", FULL_STOCK_CALCULATIONS, ("symbol", "date")),
         Table("predicted_stock_prices", PREDICTED_STOCK_PRICES, ("symbol", "date")),
         Table("model_eval", MODEL_EVAL, ("symbol",)),
+    )
+}
+
+# One row per symbol, replaced by every narrow run.
+STATES = {
+    table.name: table
+    for table in (
         Table("feature_state", FEATURE_STATE, ("symbol",)),
+        Table("forecast_state", FULL_STOCK_CALCULATIONS, ("symbol",)),
+        Table("metric_state", METRIC_STATE, ("symbol",)),
     )
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_tickloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    # Written and served by the driver; executors fetch it from there.
+    target = Path(tempfile.mkdtemp(prefix="tickloom-code-")) / f"tickloom_{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent).as_posix())
+    context.addPyFile(str(target))
+    context._tickloom_shipped = True
