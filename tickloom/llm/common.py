@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, ship_code
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -34,21 +30,6 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Sends this package to the Python workers of the session, once."""
-    context = spark.sparkContext
-    if getattr(context, "_tickloom_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    # Written and served by the driver; executors fetch it from there.
-    target = Path(tempfile.mkdtemp(prefix="tickloom-code-")) / f"tickloom_{uuid.uuid4().hex}.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent).as_posix())
-    context.addPyFile(str(target))
-    context._tickloom_shipped = True
-
-
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
