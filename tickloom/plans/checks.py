@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from tickloom.operators import dashboard
 from tickloom.plans import frames
 from tickloom.plans.queries import (
+    CUT,
     HEAD_ROWS,
     OUTLIER_DEVIATIONS,
     RECENT_MONTHS,
@@ -220,6 +223,27 @@ TRAINING = f"""
 IS_TEST = """row_number() OVER (PARTITION BY symbol ORDER BY md5(concat(symbol, '|', date, '|42')), date)
     <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY symbol))"""
 
+# The trees of ``frames.rule_forests``: tree, node, feature, threshold, left, right, prediction.
+NODES = """
+    SELECT symbol, n.* FROM (SELECT symbol, lo, hi, (lo + hi) / 2 AS mid FROM
+        (SELECT symbol, min(current_price) AS lo, max(current_price) AS hi FROM gappy GROUP BY symbol)
+        WHERE CAST(symbol[2:] AS BIGINT) % 4 <> 0),
+    LATERAL (VALUES
+        (0, 0, 3, mid, 1, 2, mid), (0, 1, -1, NULL, -1, -1, lo), (0, 2, 1, 0.0::DOUBLE, 3, 4, mid),
+        (0, 3, -1, NULL, -1, -1, mid), (0, 4, -1, NULL, -1, -1, hi),
+        (1, 0, 7, (lo + mid) / 2, 1, 2, mid), (1, 1, 2, 0.0::DOUBLE, 3, 4, lo),
+        (1, 2, -1, NULL, -1, -1, hi), (1, 3, -1, NULL, -1, -1, lo), (1, 4, -1, NULL, -1, -1, mid)
+    ) AS n(tree, node, feature, threshold, l, r, prediction)"""
+
+STEPS = """
+    SELECT f.symbol, f.date, t.tree, 0 AS node, [open_price, percent_change, cumulative_return,
+           ma_10_day, ma_30_day, volatility_30_day, ema_10, ema_30] AS x
+    FROM featured f, range(0, 2) AS t(tree)
+    UNION ALL
+    SELECT s.symbol, s.date, s.tree, CASE WHEN x[n.feature + 1] <= n.threshold THEN n.l ELSE n.r END, x
+    FROM steps s JOIN nodes n ON n.symbol = s.symbol AND n.tree = s.tree AND n.node = s.node
+    WHERE n.feature >= 0"""
+
 
 SQL = {
     "wide_csv_scan": sql("SELECT * FROM wide", "wide"),
@@ -400,3 +424,29 @@ SQL = {
         "daily", "quotes",
     ),
 }
+
+SQL["features_from_state"] = SQL["features"]
+SQL["merged_metrics"] = SQL["model_metrics"]
+SQL["predict_per_symbol"] = sql(
+    f"""SELECT s.symbol, s.date, {r('CASE WHEN len([v FOR v IN any_value(x) IF v IS NULL]) = 0 THEN sum(n.prediction) / 2 END')}
+            AS predicted_price
+        FROM steps s JOIN nodes n ON n.symbol = s.symbol AND n.tree = s.tree AND n.node = s.node
+        WHERE n.feature < 0 GROUP BY s.symbol, s.date""",
+    *CLEANED, **CLEANED_FEATURES, nodes=NODES, steps=STEPS,
+)
+LONG = f"""
+    SELECT symbol, date, current_price, open_price FROM
+    (SELECT symbol, date, {r('current_price', 2)} AS current_price,
+            lag({r('current_price', 2)}) OVER {W} AS open_price FROM ({UNPIVOT}))
+    WHERE current_price IS NOT NULL"""
+SQL["run_daily"] = sql(
+    f"""SELECT p.symbol, p.price_rows, r_squared, mae, rmse, mse, directional_accuracy FROM
+        (SELECT symbol, count(*) AS price_rows FROM
+            (SELECT symbol FROM long UNION ALL
+             SELECT symbol FROM quotes WHERE date IN (DATE '{CUT}', DATE '{CUT + datetime.timedelta(days=3)}'))
+            GROUP BY symbol) p
+        LEFT JOIN metrics m ON m.symbol = p.symbol""",
+    "daily", "wide", "quotes", long=LONG, **feature_fragments("long"), predictions=PREDICTIONS,
+    compared="SELECT symbol, date, current_price AS y, previous_day_predicted_price AS p FROM predictions",
+    metrics=METRICS,
+)

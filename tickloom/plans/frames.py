@@ -167,3 +167,38 @@ def quote_pages(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("</body></html>"),
         ).alias("html"),
     )
+
+
+RULE_TREES = 2
+#: A forest whose symbol has no row.
+GHOST = "NONE"
+
+
+def rule_forests(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest of two small trees for three symbols in four, made from their prices.
+
+    Its thresholds and leaves are exact in any engine. A fitted forest would differ
+    with the engine's random numbers; how one is applied does not.
+    """
+    prices = gappy(spark, folder).groupBy("symbol").agg(
+        F.min("current_price").alias("lo"), F.max("current_price").alias("hi")
+    )
+    prices = prices.where(F.substring("symbol", 2, 20).cast("bigint") % 4 != 0)
+    ghost = spark.range(1).select(F.lit(GHOST).alias("symbol"), F.lit(1.0).alias("lo"), F.lit(2.0).alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
+    mid = (lo + hi) / 2
+
+    def node(tree, number, prediction, feature=-1, threshold=None, left=-1, right=-1):
+        return F.struct(
+            F.lit(tree).alias("tree"), F.lit(number).alias("node"), F.lit(feature).alias("feature"),
+            (F.lit(None) if threshold is None else threshold).cast("double").alias("threshold"),
+            F.lit(left).alias("left"), F.lit(right).alias("right"), prediction.alias("prediction"),
+        )
+
+    nodes = [
+        node(0, 0, mid, 3, mid, 1, 2), node(0, 1, lo), node(0, 2, mid, 1, F.lit(0.0), 3, 4),
+        node(0, 3, mid), node(0, 4, hi),
+        node(1, 0, mid, 7, (lo + mid) / 2, 1, 2), node(1, 1, lo, 2, F.lit(0.0), 3, 4),
+        node(1, 2, hi), node(1, 3, lo), node(1, 4, mid),
+    ]
+    return prices.unionByName(ghost).select("symbol", F.inline(F.array(*nodes)))

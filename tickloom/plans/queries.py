@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +21,16 @@ from tickloom.functions.scalars import (
     week_end,
     week_start,
 )
-from tickloom.operators import dashboard, forests, ingest, metrics, returns
+from tickloom.operators import dashboard, forest_tables, forests, ingest, metrics, returns
 from tickloom.operators import forecasts as fc
 from tickloom.operators.features import (
     add_features,
     exponential_averages,
+    feature_state,
     features_table,
 )
 from tickloom.plans import frames
-from tickloom.plans.jobs import Config, run_evaluate, run_features
+from tickloom.plans.jobs import Config, run_daily as daily_jobs, run_evaluate, run_features
 from tickloom.plans.jobs import run_ingest, run_predict, run_train
 from tickloom.schemas import TABLES
 from tickloom.session import scratch_path
@@ -44,6 +46,8 @@ PAGE_ELEMENTS = {"title": {"tag": "title"}, "heading": {"tag": "h1"}}
 HEAD_ROWS = 210
 RECENT_MONTHS = 6
 OUTLIER_DEVIATIONS = 2.0
+#: A Friday in the middle of the series, up to which states are taken.
+CUT = datetime.date(1995, 6, 30)
 
 
 def query(run: Query) -> Query:
@@ -235,9 +239,17 @@ def symbol_filter(spark, folder):
     return frames.series(spark, folder).where(F.col("symbol") == "S1")
 
 
+def stored_features(spark, folder) -> DataFrame:
+    """Features as a written table: what is read several times is computed once."""
+    path = scratch_path(spark, "features")
+    rows = frames.features(spark, folder)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def training_frame(spark, folder):
-    rows = fc.training_frame(frames.features(spark, folder))
+    rows = fc.training_frame(stored_features(spark, folder))
     return rounded(
         rows, "cumulative_return", "ma_10_day", "ma_30_day", "volatility_30_day",
         "ema_10", "ema_30",
@@ -305,6 +317,16 @@ def model_metrics(spark, folder):
     return rounded_metrics(compared_metrics(spark, folder))
 
 
+@query
+def merged_metrics(spark, folder):
+    """Metrics from the sums of the rows up to a day, merged with those of later rows."""
+    rows = frames.compared(spark, folder)
+    path = scratch_path(spark, "sums")
+    metrics.metric_state(rows.where(F.col("date") <= F.lit(CUT))).write.parquet(path)
+    later = rows.where(F.col("date") > F.lit(CUT))
+    return rounded_metrics(metrics.metrics_of(metrics.metric_state(later, spark.read.parquet(path))))
+
+
 @query
 def directional_accuracy(spark, folder):
     rows = metrics.directional_accuracy(frames.compared(spark, folder))
@@ -384,6 +406,20 @@ def features(spark, folder):
     )
 
 
+@query
+def features_from_state(spark, folder):
+    """Features of the rows up to a day, and of the later ones from the state they left."""
+    rows = frames.gappy(spark, folder)
+    before = rows.where(F.col("date") <= F.lit(CUT))
+    path = scratch_path(spark, "state")
+    feature_state(before).write.parquet(path)
+    later = add_features(rows.where(F.col("date") > F.lit(CUT)), state=spark.read.parquet(path))
+    return rounded(
+        add_features(before).unionByName(later), "cumulative_return", "ma_10_day", "ma_30_day",
+        "volatility_30_day", "ema_10", "ema_30",
+    )
+
+
 # Scalars
 
 
@@ -469,9 +505,7 @@ def recent_period(spark, folder):
 
 def split_training(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Features, training rows and test rows, read back from written tables."""
-    features_path = scratch_path(spark, "features")
-    frames.features(spark, folder).write.parquet(features_path)
-    features = spark.read.parquet(features_path)
+    features = stored_features(spark, folder)
     split_path = scratch_path(spark, "training")
     fc.with_split(fc.training_frame(features)).write.parquet(split_path)
     split = spark.read.parquet(split_path)
@@ -520,6 +554,15 @@ def predictions_as_stored(spark, folder):
     return fc.align_forecasts(scored_features(spark, folder), "as_stored")
 
 
+@query
+def predict_per_symbol(spark, folder):
+    """Every row scored by its own symbol's forest; rows of symbols without one go."""
+    rows = forest_tables.score_own(
+        frames.rule_forests(spark, folder), frames.features(spark, folder)
+    )
+    return rounded(rows.select("symbol", "date", "predicted_price"), "predicted_price")
+
+
 # Jobs and streams
 
 
@@ -557,3 +600,33 @@ def daily_chain(spark, folder):
     run_predict(spark, config)
     run_evaluate(spark, config)
     return config.read(spark, "model_eval")
+
+
+@query
+def run_daily(spark, folder):
+    """Three daily runs: up to a Friday, on the Saturday, and from the state on Monday.
+
+    The ten-row mean is the forecast. Returns what the chain left of each symbol: its
+    stored prices, with the quotes of the two business days, and its metrics.
+    """
+    base = scratch_path(spark, "daily")
+    wide = frames.wide(spark, folder)
+    config = Config(
+        warehouse=f"{base}/tables",
+        models=f"{base}/models",
+        history=f"{base}/history",
+        pages=f"{base}/pages",
+        names={f"L{n}": f"Line {n}" for n in frames.LINES},
+        baseline="ma_10_day",
+        refresh_metrics=True,
+    )
+    frames.quote_pages(spark, folder).write.parquet(config.pages)
+    is_old = F.col("date") <= F.lit(CUT)
+    wide.where(is_old).write.option("header", True).csv(config.history)
+    daily_jobs(spark, config, CUT)
+    wide.where(~is_old).write.option("header", True).mode("append").csv(config.history)
+    next_day = CUT + datetime.timedelta(days=1)
+    daily_jobs(spark, config, next_day, next_day)
+    daily_jobs(spark, config, CUT + datetime.timedelta(days=3), next_day)
+    prices = config.read(spark, "stock_prices").groupBy("symbol").agg(F.count(F.lit(1)).alias("price_rows"))
+    return rounded_metrics(prices.join(config.read(spark, "model_eval"), "symbol", "left"))
