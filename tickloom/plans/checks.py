@@ -450,3 +450,9 @@ SQL["run_daily"] = sql(
     compared="SELECT symbol, date, current_price AS y, previous_day_predicted_price AS p FROM predictions",
     metrics=METRICS,
 )
+SQL["bucketed_insert"] = SQL["sink_prices"]
+SQL["bucketed_join"] = sql(
+    f"""SELECT c.symbol, c.date, c.current_price, {r('p.predicted_price')} AS predicted_price
+        FROM cleaned c LEFT JOIN predictions p ON p.symbol = c.symbol AND p.date = c.date""",
+    *CLEANED, **CLEANED_FEATURES, predictions=PREDICTIONS,
+)

@@ -34,6 +34,7 @@ from tickloom.plans.jobs import Config, run_daily as daily_jobs, run_evaluate, r
 from tickloom.plans.jobs import run_ingest, run_predict, run_train
 from tickloom.schemas import TABLES
 from tickloom.session import scratch_path
+from tickloom.sources.bucketed import insert_bucketed, open_bucketed
 from tickloom.sources.files import one_row_per_date, scan_wide_csv
 from tickloom.sources.sinks import insert_if_absent, upsert
 from tickloom.sources.tables import read_table
@@ -177,6 +178,17 @@ def insert_if_absent_(spark, folder):
     return existing.unionByName(absent)
 
 
+@query
+def bucketed_insert(spark, folder):
+    """``sink_prices`` on a bucketed table: the stored keys of the check do not move."""
+    path = scratch_path(spark, "bucketed")
+    names = frames.names(spark, folder)
+    for source in (frames.early_series, frames.series):
+        batch = ingest.clean_prices(source(spark, folder), names)
+        insert_bucketed(spark, batch, TABLES["stock_prices"], path)
+    return open_bucketed(spark, path, TABLES["stock_prices"])
+
+
 # Shaping
 
 
@@ -309,6 +321,19 @@ def actual_join_predicted(spark, folder):
     return rounded(rows, "predicted_price")
 
 
+@query
+def bucketed_join(spark, folder):
+    """Stored prices with stored forecasts, joined where they lie."""
+    prices, scored = TABLES["stock_prices"], TABLES["predicted_stock_prices"]
+    paths = [scratch_path(spark, t.name) for t in (prices, scored)]
+    cleaned = frames.cleaned(spark, folder)
+    insert_bucketed(spark, cleaned, prices, paths[0], unique=True)
+    insert_bucketed(spark, standin_predictions(spark, folder), scored, paths[1], unique=True)
+    made = open_bucketed(spark, paths[1], scored).select("symbol", "date", "predicted_price")
+    rows = fc.join_forecasts(open_bucketed(spark, paths[0], prices), made)
+    return rounded(rows.select("symbol", "date", "current_price", "predicted_price"), "predicted_price")
+
+
 # Metrics
 
 
