@@ -456,3 +456,4 @@ SQL["bucketed_join"] = sql(
         FROM cleaned c LEFT JOIN predictions p ON p.symbol = c.symbol AND p.date = c.date""",
     *CLEANED, **CLEANED_FEATURES, predictions=PREDICTIONS,
 )
+SQL["filtered_insert"] = SQL["sink_prices"]

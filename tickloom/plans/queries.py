@@ -36,6 +36,7 @@ from tickloom.schemas import TABLES
 from tickloom.session import scratch_path
 from tickloom.sources.bucketed import insert_bucketed, open_bucketed
 from tickloom.sources.files import one_row_per_date, scan_wide_csv
+from tickloom.sources.key_filter import insert_filtered
 from tickloom.sources.sinks import insert_if_absent, upsert
 from tickloom.sources.tables import read_table
 from tickloom.streaming.incremental import ingest_new_pages
@@ -189,6 +190,17 @@ def bucketed_insert(spark, folder):
     return open_bucketed(spark, path, TABLES["stock_prices"])
 
 
+@query
+def filtered_insert(spark, folder):
+    """``sink_prices`` with a filter of stored keys in front of the key check."""
+    path = scratch_path(spark, "filtered")
+    names = frames.names(spark, folder)
+    for source in (frames.early_series, frames.series):
+        batch = ingest.clean_prices(source(spark, folder), names)
+        insert_filtered(spark, batch, TABLES["stock_prices"], path)
+    return read_table(spark, path, TABLES["stock_prices"])
+
+
 # Shaping
 
 

@@ -19,7 +19,7 @@ from tickloom.sources.versions import current_path, replace_table
 ALL_OR_NOTHING = {"mapreduce.fileoutputcommitter.algorithm.version": "1"}
 
 
-def _write(rows: DataFrame, table: Table, path: str, mode: str) -> None:
+def write_rows(rows: DataFrame, table: Table, path: str, mode: str) -> None:
     if not table.dated:
         rows.hint("rebalance").write.mode(mode).options(**ALL_OR_NOTHING).parquet(path)
         return
@@ -59,7 +59,7 @@ def insert_if_absent(
         else:
             existing = read_table(spark, path, table)
     fresh = absent_rows(batch, existing, table.key, arrival, unique)
-    _write(fresh, table, current_path(spark, path), "append")
+    write_rows(fresh, table, current_path(spark, path), "append")
 
 
 def upsert(
