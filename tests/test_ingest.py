@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import column, day
 from tickloom.operators import ingest
 from tickloom.schemas import TABLES
+from tickloom.sources import sinks
 from tickloom.sources.files import one_row_per_date, scan_wide_csv
 from tickloom.sources.sinks import insert_if_absent, upsert
 from tickloom.sources.tables import read_range, read_table
@@ -246,3 +247,52 @@ def test_wide_csv_with_other_dates(spark, tmp_path):
     path = write_csv(tmp_path / "o.csv", "Date,A", "01/02/2024,3")
     rows = one_row_per_date(scan_wide_csv(spark, path, "MM/dd/yyyy")).collect()
     assert [tuple(r) for r in rows] == [(datetime.date(2024, 1, 2), 3.0)]
+
+
+def test_price_files_of_different_headers(spark, tmp_path):
+    folder = tmp_path / "files 1"
+    folder.mkdir()
+    (folder / "a [1] b.csv").write_text("Date,A,B\n2024-01-01,1,2\n2024-01-02,3,\n")
+    (folder / "b.csv").write_text('Date,"C, x",A\n2024-01-02,5,6\n2024-01-03,7,8\n')
+    (folder / "c.csv").write_text("Date,A,B\n2024-01-04,9,10\n")
+    (folder / "empty.csv").write_text("")
+    wide = one_row_per_date(scan_wide_csv(spark, str(folder)))
+    assert wide.columns == ["date", "A", "B", "C, x"]
+    got = [tuple(r)[1:] for r in wide.orderBy("date").collect()]
+    # The second file comes after the first, whose prices of a date win.
+    assert got == [(1, 2, None), (3, None, 5), (8, None, 7), (9, 10, None)]
+    (folder / "d.csv").write_text("Date,A,A\n2024-01-05,1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        scan_wide_csv(spark, str(folder))
+    nothing = tmp_path / "nothing"
+    nothing.mkdir()
+    (nothing / "e.csv").write_text("")
+    with pytest.raises(ValueError, match="header"):
+        scan_wide_csv(spark, str(nothing))
+
+
+def test_a_symbol_is_read_from_its_own_files(spark, tmp_path):
+    """With more files, fewer rows are read to find the rows of one symbol."""
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("S"), F.col("id") % 40).alias("symbol"), F.lit("n").alias("name"),
+        F.date_add(F.lit(day(0)), (F.col("id") / 40 % 300).cast("int")).alias("date"),
+        F.col("id").cast("double").alias("current_price"), F.lit(None).cast("double").alias("open_price"),
+    )
+    read = {}
+    few, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {k: spark.conf.get(k) for k in (few, merged)}
+    try:
+        spark.conf.set(merged, "false")
+        for files in (1, 16):
+            spark.conf.set(few, str(files))
+            path = str(tmp_path / f"files{files}")
+            sinks.write_rows(rows, TABLES["stock_prices"], path, "append")
+            one = spark.read.parquet(path).where("symbol = 'S7'")
+            assert len(one.collect()) == 1000
+            leaf = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+            read[files] = leaf.metrics().apply("numOutputRows").value()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # In one file, only pages are passed over.
+    assert 4 * read[16] < read[1], read

@@ -457,3 +457,10 @@ SQL["bucketed_join"] = sql(
     *CLEANED, **CLEANED_FEATURES, predictions=PREDICTIONS,
 )
 SQL["filtered_insert"] = SQL["sink_prices"]
+OLD = f"CASE WHEN date <= DATE '{CUT}'"
+SQL["wide_csv_union"] = sql(
+    f"""SELECT date, L1, {OLD} THEN L2 END AS L2, L3,
+        {', '.join(f'{OLD} THEN L{n} END AS L{n}' for n in frames.LINES[3:])},
+        {OLD} THEN NULL ELSE L2 END AS M2 FROM wide""",
+    "wide",
+)

@@ -73,6 +73,18 @@ def wide_csv_scan(spark, folder):
     return one_row_per_date(scan_wide_csv(spark, path))
 
 
+@query
+def wide_csv_union(spark, folder):
+    """Price files of two headers: some lines only, in another order, for some years."""
+    path = scratch_path(spark, "wide")
+    wide = frames.wide(spark, folder)
+    is_old = F.col("date") <= F.lit(CUT)
+    wide.where(is_old).write.option("header", True).csv(path)
+    later = wide.where(~is_old).select("date", "L3", "L1", F.col("L2").alias("M2"))
+    later.write.option("header", True).mode("append").csv(path)
+    return one_row_per_date(scan_wide_csv(spark, path))
+
+
 @query
 def quote_extract(spark, folder):
     return ingest.extract_quotes(frames.quote_pages(spark, folder)).drop("fetched_at")

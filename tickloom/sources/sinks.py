@@ -17,17 +17,24 @@ from tickloom.sources.versions import current_path, replace_table
 
 # Task output becomes visible only when the whole job commits.
 ALL_OR_NOTHING = {"mapreduce.fileoutputcommitter.algorithm.version": "1"}
+#: Symbols of a year are written in so many slices, if there are rows enough.
+SLICES = 64
+SLICE = "_slice"
 
 
 def write_rows(rows: DataFrame, table: Table, path: str, mode: str) -> None:
     if not table.dated:
         rows.hint("rebalance").write.mode(mode).options(**ALL_OR_NOTHING).parquet(path)
         return
-    # Rebalancing gathers a year's rows into files of even size and splits a year
-    # that is too large for one task.
+    # Rebalancing gathers the rows of a year and a slice of its symbols into files of even
+    # size; what is too large for one task is split, what is too small is merged. So a
+    # symbol lies in the files of its slice alone, sorted, and a scan for it passes over
+    # the row groups whose dictionary lacks it.
+    dealt = rows.withColumns({YEAR: F.year("date"), SLICE: F.pmod(F.xxhash64("symbol"), F.lit(SLICES))})
     (
-        rows.withColumn(YEAR, F.year("date"))
-        .hint("rebalance", YEAR)
+        dealt.hint("rebalance", YEAR, SLICE)
+        .sortWithinPartitions(YEAR, "symbol", "date")
+        .drop(SLICE)
         .write.mode(mode)
         .options(**ALL_OR_NOTHING)
         .partitionBy(YEAR)
