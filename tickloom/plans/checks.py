@@ -201,15 +201,20 @@ UNPIVOT = " UNION ALL ".join(
     f"SELECT 'L{n}' AS symbol, date, L{n} AS current_price FROM wide" for n in frames.LINES
 )
 
-def outliers(deviations: float) -> str:
+SPIKED = """
+    SELECT symbol, date, CASE WHEN (CAST(symbol[2:] AS BIGINT) + dayofyear(date)) % 101 = 0
+                         THEN 3 * y ELSE y END AS y, p FROM compared"""
+
+
+def outliers(deviations: float, points: str = "compared", **more: str) -> str:
     return sql(
         f"""SELECT symbol, date, actual, {r('predicted')} AS predicted, {r('residual')} AS residual,
             {r('deviation')} AS residual_deviation
             FROM (SELECT symbol, date, y AS actual, p AS predicted, y - p AS residual,
                          stddev_samp(y - p) OVER (PARTITION BY symbol) AS deviation
-                  FROM compared WHERE y IS NOT NULL AND p IS NOT NULL)
+                  FROM {points} WHERE y IS NOT NULL AND p IS NOT NULL)
             WHERE abs(residual) > {deviations}::DOUBLE * deviation""",
-        *COMPARED,
+        *COMPARED, **more,
     )
 
 
@@ -411,7 +416,7 @@ SQL = {
         *COMPARED,
     ),
     "residual_outliers": outliers(OUTLIER_DEVIATIONS),
-    "residual_outliers_by_rule": outliers(dashboard.OUTLIER_DEVIATIONS),
+    "residual_outliers_by_rule": outliers(dashboard.OUTLIER_DEVIATIONS, "spiked", spiked=SPIKED),
     "recent_period": sql(
         f"""SELECT * FROM series WHERE date >=
             (SELECT CAST(max(date) - INTERVAL {RECENT_MONTHS} MONTH AS DATE) FROM series)""",

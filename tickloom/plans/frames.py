@@ -124,6 +124,13 @@ def compared(spark: SparkSession, folder: str) -> DataFrame:
     return means.withColumn("current_price", price)
 
 
+def spiked(spark: SparkSession, folder: str) -> DataFrame:
+    """``compared`` with a price three times as high on one day in a hundred."""
+    n = F.substring("symbol", 2, 20).cast("bigint") + F.dayofyear("date")
+    price = F.when(n % 101 == 0, 3 * F.col("current_price")).otherwise(F.col("current_price"))
+    return compared(spark, folder).withColumn("current_price", price)
+
+
 def quote_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Page source written around each day's price.
 

@@ -539,8 +539,8 @@ def residual_outliers(spark, folder):
 
 @query
 def residual_outliers_by_rule(spark, folder):
-    """With the rule's own number of deviations."""
-    rows = dashboard.residual_outliers(standin_points(spark, folder))
+    """With the rule's own number of deviations, on prices that spike now and then."""
+    rows = dashboard.residual_outliers(dashboard.scatter_points(frames.spiked(spark, folder)))
     return rounded(rows, "predicted", "residual", "residual_deviation")
 
 
