@@ -136,8 +136,37 @@ class SeekableReader:
         return self.frame(k)[start : start + int(self.counts[i])]
 
 
+class Vocabulary:
+    """Ids of whole texts as the library's plain call gives them."""
+
+    def __init__(self, tokenizer, added: list[str], pieces: PieceCache):
+        self.tokenizer, self.added, self.pieces = tokenizer, added, pieces
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order.
+
+        Added strings are found before a text is split into pre-tokens, so texts that
+        hold one bypass the cache of pre-tokens.
+        """
+        plain: list[str] = []
+        for text in texts:
+            if not any(a in text for a in self.added):
+                plain.append(text)
+                continue
+            yield from self._cached(plain)
+            plain = []
+            yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        yield from self._cached(plain)
+
+    def _cached(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for ids, counts in encode_texts(texts, self.pieces):
+            stops = np.cumsum(counts)
+            for n, stop in zip(counts.tolist(), stops.tolist()):
+                yield ids[stop - n : stop]
+
+
 @cache
-def load_tokenizer(path: str) -> PieceCache:
+def load_tokenizer(path: str) -> Vocabulary:
     """The vocabulary behind a cache of pre-tokens; one per worker process.
 
     A pre-token by itself is split as inside its text, so only new ones are encoded.
@@ -145,7 +174,8 @@ def load_tokenizer(path: str) -> PieceCache:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    # Texts that hold one of these are given to the library whole.
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # Words behind a space stay apart when joined, so many take one call.
@@ -169,7 +199,7 @@ def load_tokenizer(path: str) -> PieceCache:
         np.add.at(counts, owner, 1)
         return np.concatenate(found)[np.argsort(owner, kind="stable")], counts
 
-    return PieceCache(encode)
+    return Vocabulary(tokenizer, added, PieceCache(encode))
 
 
 MANIFEST = "part int, path string, documents bigint, n_ids bigint, bytes bigint"
@@ -188,6 +218,7 @@ def write_documents(
 ) -> DataFrame:
     """Encodes whole texts and writes them in ascending id order; returns the manifest.
 
+    Ids are those of the library's plain call: strings of added tokens count as such.
     A task writes one file under a name of its own, and only files of finished tasks
     come into the manifest, so repeated or lost tasks do no harm. Null text is empty;
     every document ends with ``end_id``. A null id sorts first; equal ids keep an
@@ -202,7 +233,7 @@ def write_documents(
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load_tokenizer(tokenizer_path)
+        vocabulary = load_tokenizer(tokenizer_path)
         system, folder = pyarrow.fs.FileSystem.from_uri(path)
         name, writer, out = "", None, None
         end = np.array([end_id], np.uint32)
@@ -212,11 +243,9 @@ def write_documents(
                 name = f"{uuid.uuid4().hex}.ids.zst"
                 out = system.open_output_stream(f"{folder}/{name}", compression=None)
                 writer = SeekableWriter(out)
-            numbers = iter(batch.column(0).to_pylist())
-            for ids, counts in encode_texts(batch.column(1).to_pylist(), pieces):
-                stops = np.cumsum(counts)
-                for n, stop in zip(counts.tolist(), stops.tolist()):
-                    writer.add(next(numbers), np.concatenate((ids[stop - n : stop], end)))
+            texts = vocabulary.encode(batch.column(1).to_pylist())
+            for number, ids in zip(batch.column(0).to_pylist(), texts):
+                writer.add(number, np.concatenate((ids, end)))
         if writer is not None:
             writer.close()
             size = out.tell()
