@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.html import element_markup, markup_text, visible
+from tickloom.functions.html import first_match, markup_text, visible, whole_element
 from tickloom.functions.scalars import (
     is_after_close,
     local_time,
@@ -97,9 +97,12 @@ def extract_page_text(
     Elements named in ``pieces`` have each piece of their text trimmed.
     """
     kept = [c for c in pages.columns if c != "html"]
-    found = pages.withColumn("html", visible(F.col("html"))).select(
-        *kept,
-        *[element_markup(F.col("html"), **e).alias(name) for name, e in elements.items()],
+    page = F.col("html")
+    found = pages.withColumn("html", visible(page)).select(
+        *kept, "html", *[first_match(page, **e).alias(name) for name, e in elements.items()]
+    )
+    found = found.select(
+        *kept, *[whole_element(page, F.col(name), **e).alias(name) for name, e in elements.items()]
     )
     return found.select(*kept, *[markup_text(F.col(n), n in pieces).alias(n) for n in elements])
 
