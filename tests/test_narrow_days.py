@@ -1,0 +1,78 @@
+"""A narrow daily run reads no stored row of the years before."""
+
+import datetime
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.plans import jobs
+from tickloom.schemas import TABLES
+
+FIRST = datetime.date(2023, 10, 1)
+FRIDAY = datetime.date(2024, 2, 16)
+DATED = [name for name, table in TABLES.items() if table.dated]
+
+
+def write_history(folder, name, first, last, rng_seed=3):
+    """The same prices for a day, whichever files they are dealt to."""
+    lines = ["Date,AAPL,MSFT"]
+    for n in range((last - FIRST).days + 1):
+        d = FIRST + datetime.timedelta(days=n)
+        rng = random.Random(rng_seed * 1000 + n)
+        values = ["" if rng.random() < 0.1 else f"{rng.uniform(90, 110):.2f}" for _ in range(2)]
+        if d >= first:
+            lines.append(",".join([str(d), *values]))
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def config_in(folder):
+    return jobs.Config(
+        warehouse=str(folder / "tables"), models=str(folder / "models"), history=str(folder / "history"),
+        baseline="ma_10_day", refresh_metrics=True,
+    )
+
+
+def rows_of_2024(spark, config, table):
+    found = spark.read.schema(TABLES[table].schema).parquet(f"{config.path(table)}/_year=2024")
+    return {
+        (r.symbol, r.date): [pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v for v in r]
+        for r in found.collect()
+    }
+
+
+def test_days_go_on_from_the_state_alone(spark, tmp_path):
+    whole, narrow = config_in(tmp_path / "whole"), config_in(tmp_path / "narrow")
+    write_history(tmp_path / "whole" / "history", "a.csv", FIRST, FRIDAY + datetime.timedelta(days=5))
+    assert jobs.run_daily(spark, whole, FRIDAY + datetime.timedelta(days=5))
+
+    write_history(tmp_path / "narrow" / "history", "a.csv", FIRST, FRIDAY)
+    assert jobs.run_daily(spark, narrow, FRIDAY)
+    for table in DATED:
+        files = list(Path(narrow.path(table), "_year=2023").glob("*.parquet"))
+        assert files
+        for file in files:
+            file.write_bytes(b"not to be read")
+    # A weekend passes without a run, the next one catches up, and a repeat adds nothing.
+    assert not jobs.run_daily(spark, narrow, FRIDAY + datetime.timedelta(days=1), FRIDAY)
+    for more in (3, 5, 5):
+        today = FRIDAY + datetime.timedelta(days=more)
+        since = FRIDAY + datetime.timedelta(days=1 if more == 3 else 4)
+        write_history(tmp_path / "narrow" / "history", f"b{more}.csv", since, today)
+        assert jobs.run_daily(spark, narrow, today, since)
+
+    for table in DATED:
+        wanted = rows_of_2024(spark, whole, table)
+        got = spark.read.schema(TABLES[table].schema).parquet(f"{narrow.path(table)}/_year=2024").collect()
+        assert {(r.symbol, r.date): list(r) for r in got} == wanted and len(got) == len(wanted) > 60
+    metrics = [
+        {r.symbol: list(r)[1:] for r in c.read(spark, "model_eval").orderBy("symbol").collect()}
+        for c in (whole, narrow)
+    ]
+    assert metrics[1].keys() == {"AAPL", "MSFT"}
+    for symbol, values in metrics[0].items():
+        assert metrics[1][symbol] == [pytest.approx(v, rel=1e-9) for v in values]
+    with pytest.raises(Exception):
+        narrow.read(spark, "stock_prices").agg(F.sum("current_price")).collect()
