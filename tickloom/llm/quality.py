@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import let, words_of
+from tickloom.llm.common import free_name, let, whole_row_hash, words_of
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -21,6 +21,8 @@ HOST_LIMIT = 0.5
 #: Prior strength, in documents, when hosts differ no more than chance would have it.
 MAX_STRENGTH = 1e6
 MIN_STRENGTH = 2.0
+#: The documents of a host meet its verdict in so many groups.
+HOST_SALTS = 32
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
@@ -99,12 +101,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     # One struct out of one expression: the planner cannot take it apart and compute
     # the words again for every measure.
-    found = docs.withColumn("_measures", let(words_of(body), all_measures))
-    windows = F.col("_measures")["windows"]
+    held = free_name(docs, "_measures")
+    found = docs.withColumn(held, let(words_of(body), all_measures))
+    windows = F.col(held)["windows"]
     repeats = F.size(F.array_distinct(windows)) < F.size(windows)
     counted = F.when(repeats, _covered(windows)).otherwise(F.lit(0).cast("long"))
-    plain_measures = {m: F.col("_measures")[m] for m in MEASURES if m != "n_repeat_words"}
-    found = found.withColumns({**plain_measures, "n_repeat_words": counted}).drop("_measures")
+    plain_measures = {m: F.col(held)[m] for m in MEASURES if m != "n_repeat_words"}
+    found = found.withColumns({**plain_measures, "n_repeat_words": counted}).drop(held)
     n = F.col("n_words")
     found = found.withColumns(
         {
@@ -130,7 +133,7 @@ def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     """
     counts = (
         measured.where(F.col(host).isNotNull())
-        .groupBy(host)
+        .groupBy(F.col(host).alias("_host"))
         .agg(
             F.count("*").alias("_n"),
             *(F.sum(F.col(r).cast("long")).alias(f"_k_{r}") for r in RULES),
@@ -168,7 +171,7 @@ def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     return (
         joined.withColumns(rates)
         .withColumn("host_rejected", bad)
-        .select(host, F.col("_n").alias("host_docs"), *rates, "host_rejected")
+        .select(F.col("_host").alias(host), F.col("_n").alias("host_docs"), *rates, "host_rejected")
     )
 
 
@@ -177,16 +180,26 @@ def judge(measured: DataFrame, host: str = "source") -> DataFrame:
 
     ``measured`` is read twice, so store it first. A document without a host is
     judged by its base rules alone. Equal rows get equal verdicts; an empty table
-    stays empty.
+    stays empty. Other columns may have any names; ``host_rejected`` and ``kept`` of
+    the input are replaced.
+
+    A large host's documents meet its verdict in ``HOST_SALTS`` groups, by a hash of
+    the row; documents without a host spread alike.
     """
+    helpers = [free_name(measured, n) for n in ("_salt", "_known", "_known_salt", "_verdict")]
+    salt, known, known_salt, verdict = helpers
+    salts = F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1)))
     rejected = (
         host_verdicts(measured, host)
         .where("host_rejected")
-        .select(F.col(host).alias("_host"), F.lit(True).alias("_host_rejected"))
+        .select(F.col(host).alias(known), salts.alias(known_salt), F.lit(True).alias(verdict))
     )
+    dealt = F.pmod(whole_row_hash(measured), F.lit(HOST_SALTS)).cast("int")
+    met = (F.col(host) == F.col(known)) & (F.col(salt) == F.col(known_salt))
     return (
-        measured.join(rejected, F.col(host) == F.col("_host"), "left")
-        .withColumn("host_rejected", F.coalesce("_host_rejected", F.lit(False)))
-        .drop("_host", "_host_rejected")
+        measured.withColumn(salt, dealt)
+        .join(rejected, met, "left")
+        .withColumn("host_rejected", F.coalesce(verdict, F.lit(False)))
+        .drop(*helpers)
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
     )
