@@ -1,6 +1,6 @@
 """Uniform sharding with exact shard sizes.
 
-Rows lie in partitions by a hash of their id. How many rows each partition sends to
+Rows lie in partitions by a hash of all their columns. How many rows each partition sends to
 each shard is drawn from the multivariate hypergeometric law that a uniform shuffle
 of all rows would follow. Each partition permutes its rows and deals them out by its
 row of that matrix; after the exchange each shard is permuted again. Shard sizes are
@@ -92,21 +92,24 @@ def shard_rows(
 ) -> DataFrame:
     """Adds ``shard`` and ``slot``; slots of a shard run from 0 without a gap.
 
-    Any columns are allowed; columns named ``shard`` or ``slot`` are replaced. Null
-    ids are hashed like any value. Rows equal in every column are interchangeable,
-    so the result is the same on every run. An empty table stays empty.
+    Any columns are allowed; columns named ``shard`` or ``slot`` are replaced. Rows are
+    dealt by a hash of all columns, so that an id that many rows repeat, or none, spreads
+    like any other. Rows equal in every column are interchangeable, so the result is the
+    same on every run. An empty table stays empty.
     """
     if n_shards < 1:
         raise ValueError("at least one shard")
     rows = rows.drop("shard", "slot")
-    part, order, piece = (free_name(rows, x) for x in ("_part", "_order", "_piece"))
+    helpers = [free_name(rows, f"_{x}") for x in ("part", "order", "piece", "rank", "ends", "first")]
+    part, order, piece, rank, ends_of, first = helpers
     spark = rows.sparkSession
     total = rows.count()
     wanted = max(LEAST_PARTITIONS, math.ceil(total / PARTITION_ROWS))
     parts = max(1, min(wanted, max(LEAST_PARTITIONS, MATRIX_ENTRIES // n_shards)))
     pieces = max(1, math.ceil(total / (n_shards * PIECE_ROWS)))
-    key = F.col(row_id)
-    dealt = rows.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), key), F.lit(parts)).cast("int"))
+    key = F.col(order)
+    dealt = rows.withColumn(order, whole_row_hash(rows))
+    dealt = dealt.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), key), F.lit(parts)).cast("int"))
     # At most ``parts`` rows reach the driver.
     sizes = {r[0]: r[1] for r in dealt.groupBy(part).count().collect()}
     matrix = communication_matrix(sizes, n_shards, seed)
@@ -120,16 +123,16 @@ def shard_rows(
     text = F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")
     table = spark.range(1).select(F.explode(text).alias("_row")).select(
         F.get("_row", F.lit(0)).cast("int").alias(part),
-        F.slice("_row", 2, n_shards).alias("_ends"),
+        F.slice("_row", 2, n_shards).alias(ends_of),
     )
-    dealt = dealt.withColumn(order, whole_row_hash(rows))
-    local = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), key), order)
+    # The id tells rows apart whose hashes are equal by chance.
+    local = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed + 1), key), key, row_id)
     dealt = (
-        dealt.withColumn("_rank", F.row_number().over(local))
+        dealt.withColumn(rank, F.row_number().over(local))
         .join(table, part)
-        .withColumn("shard", F.size(F.filter("_ends", lambda e: e < F.col("_rank"))))
+        .withColumn("shard", F.size(F.filter(ends_of, lambda e: e < F.col(rank))))
         .withColumn(piece, F.pmod(F.xxhash64(F.lit(seed + 2), key), F.lit(pieces)).cast("int"))
-        .drop("_ends", "_rank", part)
+        .drop(ends_of, rank, part)
     )
     # Slots need the size of every piece before its own; the stored rows give both.
     dealt = stored(dealt, "sharded")
@@ -137,14 +140,14 @@ def shard_rows(
     offsets = (
         dealt.groupBy("shard", piece)
         .count()
-        .withColumn("_first", F.coalesce(F.sum("count").over(before), F.lit(0)))
+        .withColumn(first, F.coalesce(F.sum("count").over(before), F.lit(0)))
         .drop("count")
     )
-    again = Window.partitionBy("shard", piece).orderBy(F.xxhash64(F.lit(seed + 3), key), order)
+    again = Window.partitionBy("shard", piece).orderBy(F.xxhash64(F.lit(seed + 3), key), key, row_id)
     return (
         dealt.withColumn("slot", F.row_number().over(again) - 1)
         .join(offsets, ["shard", piece])
-        .withColumn("slot", F.col("slot") + F.col("_first"))
+        .withColumn("slot", F.col("slot") + F.col(first))
         .select(*(c for c, _ in _named(rows)), "shard", "slot")
     )
 
