@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, words_of
+from tickloom.llm.common import free_name, stored, words_of
 
 #: The exponent is a multiple of 2**-GRID_BITS, so that every run finds the same.
 GRID_BITS = 20
@@ -107,8 +107,10 @@ def _key(*parts) -> Column:
 def plan_sources(slim: DataFrame, mix: Mix) -> DataFrame:
     """One row per source: weight, passes, blocks, and where its last pass ends.
 
-    ``slim`` has id, source and tokens and is read a few times: store it first.
+    ``slim`` has id, source and tokens and is read a few times: store it first. Other
+    columns are not looked at.
     """
+    slim = slim.select("id", "source", "tokens")
     totals = stored(
         slim.groupBy("source").agg(
             F.sum("tokens").alias("tokens"), F.count("*").alias("rows")
@@ -136,7 +138,7 @@ def plan_sources(slim: DataFrame, mix: Mix) -> DataFrame:
     )
     drawn = slim.join(open_sources, F.col("source").eqNullSafe(F.col("_source")))
     part = stored(
-        drawn.withColumns(_place(F.col("full"), F.col("id"), F.col("source"), mix)).select(
+        drawn.withColumns(_place(F.col("full"), F.col("id"), F.col("source"), F.col("blocks"), mix)).select(
             "source", "tokens", "rest", "block", "block_key", "doc_key"
         ),
         "part_pass",
@@ -171,9 +173,13 @@ def plan_sources(slim: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def _place(number: Column, row_id: Column, source: Column, mix: Mix) -> dict[str, Column]:
+#: Columns that ``mix_rows`` adds.
+DRAWN = ("weight", "pass", "block", "block_key", "doc_key")
+
+
+def _place(number: Column, row_id: Column, source: Column, blocks: Column, mix: Mix) -> dict[str, Column]:
     """Block and order keys of a document in a pass."""
-    block = F.pmod(_key(mix.seed, number, row_id), F.col("blocks")).cast("int")
+    block = F.pmod(_key(mix.seed, number, row_id), blocks).cast("int")
     return {
         "block": block,
         "block_key": _key(mix.seed + 1, number, source, block),
@@ -189,21 +195,24 @@ def mix_rows(
     The mixed order is that of (block_key, doc_key): whole blocks of all sources and
     passes interleave. The plan has one row per source; it is broadcast only while
     its written size allows, and joined by source beyond. A null source is a source
-    of its own. Equal rows are drawn alike. An empty table gives none.
+    of its own. Equal rows are drawn alike. An empty table gives none. Columns may have
+    any names; those of the input named as one of ``DRAWN`` are replaced.
     """
-    rows = docs.withColumns({"_id": F.col(row_id), "_src": F.col(source)})
-    chosen = plan.select(
-        F.col("source").alias("_plan"), F.col("full"), "blocks", "cut_block", "cut_doc", "rest", "weight"
-    )
-    joined = rows.join(chosen, F.col("_src").eqNullSafe(F.col("_plan"))).withColumn(
-        "pass", F.explode(F.sequence(F.lit(0), F.col("full")))
+    own_id, own_source = free_name(docs, "_id"), free_name(docs, "_src")
+    rows = docs.withColumns({own_id: F.col(row_id), own_source: F.col(source)}).drop(*DRAWN)
+    figures = ("source", "full", "blocks", "cut_block", "cut_doc", "rest")
+    named = {n: free_name(docs, f"_plan_{n}") for n in figures}
+    known, full, blocks, cut_block, cut_doc, rest = (F.col(n) for n in named.values())
+    chosen = plan.select(*(F.col(n).alias(x) for n, x in named.items()), "weight")
+    joined = rows.join(chosen, F.col(own_source).eqNullSafe(known)).withColumn(
+        "pass", F.explode(F.sequence(F.lit(0), full))
     )
     number = F.col("pass")
-    joined = joined.withColumns(_place(number, F.col("_id"), F.col("_src"), mix))
-    before = F.col("cut_block").isNull() | (F.col("block_key") < F.col("cut_block"))
-    at = (F.col("block_key") == F.col("cut_block")) & (F.col("doc_key") <= F.col("cut_doc"))
-    inside = (number < F.col("full")) | ((F.col("rest") > 0) & (before | F.coalesce(at, F.lit(False))))
-    return joined.where(inside).drop("_id", "_src", "_plan", "full", "blocks", "cut_block", "cut_doc", "rest")
+    joined = joined.withColumns(_place(number, F.col(own_id), F.col(own_source), blocks, mix))
+    before = cut_block.isNull() | (F.col("block_key") < cut_block)
+    at = (F.col("block_key") == cut_block) & (F.col("doc_key") <= cut_doc)
+    inside = (number < full) | ((rest > 0) & (before | F.coalesce(at, F.lit(False))))
+    return joined.where(inside).drop(own_id, own_source, *named.values())
 
 
 def slim_rows(docs: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text"):
