@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, mixing, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
-``run`` writes every stage's rows as Parquet in the shared folder and reads them again.
+``run`` writes every stage's rows as Parquet in the shared folder and reads them again;
+what a stage wrote for itself goes when its rows are written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import line_edits, minhash, mixing, quality
-from tickloom.llm.common import load, packed, stored
+from tickloom.llm.common import load, packed, scratch, stored
 from tickloom.llm.queries import encoded_and_decoded
 
 #: Line dedup and near-dedup decide by edit distance and signatures, which the SQL of
@@ -83,5 +84,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
     return docs

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +15,41 @@ from tickloom.session import scratch_path, ship_code
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def stored(rows: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+#: Folders written inside the open ``scratch`` block, if any.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def stored(rows: DataFrame, label: str, compression: str = "snappy", keep: bool = False) -> DataFrame:
     """The rows, written to the shared folder and read again.
 
-    Cuts the lineage: a lost executor repeats no work before the written table.
+    Cuts the lineage: a lost executor repeats no work before the written table. Inside
+    a ``scratch`` block the table goes at its end, unless ``keep`` is set.
     """
     spark = rows.sparkSession
     path = scratch_path(spark, label)
+    written = _WRITTEN.get()
+    if written is not None and not keep:
+        written.append(path)
     rows.write.option("compression", compression).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drops what ``stored`` writes inside, as soon as the block ends or fails.
+
+    What is to be read later is written with ``keep`` as the last step of the block.
+    """
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for path in paths:
+            drop_folder(spark, path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Removes a written table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
