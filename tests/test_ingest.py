@@ -207,6 +207,48 @@ def test_incremental_ingest_adds_only_new_keys(spark, tmp_path):
     assert spark.read.parquet(table).count() == 2
 
 
+def test_repeated_and_late_pages_of_a_stream(spark, tmp_path, monkeypatch):
+    from tickloom.streaming import incremental
+
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    checked = []
+
+    def counted(session, rows, *args, **kwargs):
+        checked.append(rows.count())
+        insert_if_absent(session, rows, *args, **kwargs)
+
+    monkeypatch.setattr(incremental, "insert_if_absent", counted)
+
+    def deliver(*pages):
+        checked.clear()
+        if pages:
+            spark.createDataFrame(list(pages), PAGE_TYPE).coalesce(1).write.mode("append").parquet(landing)
+        ingest_new_pages(spark, landing, table, state, late="3 days")
+        rows = read_table(spark, table, PRICES).select("symbol", "date", "current_price").collect()
+        return sorted((r[0], r[1].day, r[2]) for r in rows), list(checked)
+
+    def at(day, minute=0):
+        return datetime.datetime(2024, 1, day, 22, minute)
+
+    first = [page("A", 200, at(10), "1"), page("B", 200, at(10), "2")]
+    stored = [("A", 10, 1.0), ("B", 10, 2.0)]
+    assert deliver(*first) == (stored, [2])
+    # Delivered again: nothing reaches the key check. After a restart without files neither.
+    assert deliver(*first, first[0]) == (stored, [])
+    assert deliver() == (stored, [])
+    # Another page of a stored key is checked and loses; inside a batch the first fetch wins.
+    later = [page("C", 200, at(10, 9), "9"), page("C", 200, at(10, 5), "5"), page("A", 200, at(10, 7), "7")]
+    stored.append(("C", 10, 5.0))
+    assert deliver(*later) == (stored, [3])
+    # Late inside the watermark goes in, outside of it is left to the daily ingest.
+    stored = [("A", 8, 4.0), *stored]
+    assert deliver(page("A", 200, at(8), "4"), page("D", 200, at(6), "6")) == (stored, [1])
+    # The batch ingest may add to the table meanwhile; the stream keeps what is there.
+    insert_if_absent(spark, price_frame(spark, [("E", "e", at(11).date(), 3.0, None)]), PRICES, table)
+    stored = sorted([*stored, ("E", 11, 3.0)])
+    assert deliver(page("E", 200, at(11), "8")) == (stored, [1])
+
+
 def test_stream_and_batch_write_one_table(spark, tmp_path):
     landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
     at = datetime.datetime(2024, 1, 5, 22)

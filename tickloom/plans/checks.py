@@ -9,6 +9,7 @@ from tickloom.plans import frames
 from tickloom.plans.queries import (
     CUT,
     HEAD_ROWS,
+    LATE_DAYS,
     OUTLIER_DEVIATIONS,
     RECENT_MONTHS,
 )
@@ -36,6 +37,20 @@ def full(figure: str, value: str, rows: int) -> str:
     )
 
 
+def quotes_with(more: str = "") -> str:
+    return f"""
+        SELECT symbol, name, CAST(local AS DATE) AS date, current_price, open_price{more}
+        FROM (SELECT *, timezone('America/Chicago', timezone('UTC', utc)) AS local
+              FROM (SELECT concat('S', l_suppkey) AS symbol,
+                           CASE WHEN l_suppkey % 13 <> 0 THEN s_name ELSE 'N/A' END AS name,
+                           CASE WHEN n % 97 <> 0 THEN price END AS current_price,
+                           low_price AS open_price,
+                           CAST(date AS TIMESTAMP) + to_hours(CAST(17 + n % 8 AS BIGINT)) AS utc
+                    FROM daily JOIN supplier ON l_suppkey = s_suppkey
+                    WHERE n % 11 <> 0))
+        WHERE hour(local) >= 15"""
+
+
 FRAGMENTS = {
     "daily": """
         SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date,
@@ -61,17 +76,7 @@ FRAGMENTS = {
         for n in frames.LINES
     )
     + " FROM lineitem GROUP BY 1",
-    "quotes": """
-        SELECT symbol, name, CAST(local AS DATE) AS date, current_price, open_price
-        FROM (SELECT concat('S', l_suppkey) AS symbol,
-                     CASE WHEN l_suppkey % 13 <> 0 THEN s_name ELSE 'N/A' END AS name,
-                     CASE WHEN n % 97 <> 0 THEN price END AS current_price,
-                     low_price AS open_price,
-                     timezone('America/Chicago', timezone('UTC',
-                       CAST(date AS TIMESTAMP) + to_hours(CAST(17 + n % 8 AS BIGINT)))) AS local
-              FROM daily JOIN supplier ON l_suppkey = s_suppkey
-              WHERE n % 11 <> 0)
-        WHERE hour(local) >= 15""",
+    "quotes": quotes_with(),
     "forecasts": f"""
         SELECT * FROM (SELECT symbol, date,
                {full('avg', 'current_price', 10)} AS predicted_price FROM series)
@@ -428,6 +433,12 @@ SQL = {
                   date, current_price, open_price FROM quotes""",
         "daily", "quotes",
     ),
+    "incremental_ingest_late": sql(
+        f"""SELECT symbol, name, date, current_price, open_price FROM fetched
+            WHERE dayofweek(date) <> 3 OR utc >
+              (SELECT max(utc) - INTERVAL {LATE_DAYS} DAY FROM fetched WHERE dayofweek(date) <> 3)""",
+        "daily", fetched=quotes_with(", utc"),
+    ),
 }
 
 SQL["features_from_state"] = SQL["features"]

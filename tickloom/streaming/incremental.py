@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.ingest import ARRIVAL, extract_quotes
 from tickloom.schemas import QUOTE_PAGES, TABLES
+from tickloom.session import scratch_path
 from tickloom.sources.sinks import insert_if_absent
 
 PRICES = TABLES["stock_prices"]
@@ -20,32 +21,58 @@ def page_stream(spark: SparkSession, landing: str, files_per_batch: int | None =
     return reader.parquet(landing)
 
 
+def unseen_quotes(quotes: DataFrame, late: str) -> DataFrame:
+    """Quotes of a stream less those that equal an earlier one in every column.
+
+    ``late`` bounds the state: a quote is remembered until the newest fetch seen is so much
+    later than its own. One that comes later than that is dropped, new or not.
+    """
+    # Watermarks need an instant; this one is that of UTC whatever the session's zone is.
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', fetched_at)")
+    timed = quotes.withColumn("_fetched", F.timestamp_micros(micros)).withWatermark("_fetched", late)
+    return timed.dropDuplicatesWithinWatermark(quotes.columns).drop("_fetched")
+
+
 def ingest_new_pages(
     spark: SparkSession,
     landing: str,
     table_path: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    late: str | None = None,
 ) -> None:
     """Insert the quotes of files that arrived since the last call, then stop.
 
     Each micro-batch is a keyed insert like that of the daily ingest, so both may write
     one table: the first writer of a key wins, and a batch that is repeated after a
     failure adds nothing twice. Inside a batch the page fetched first wins. Keys are
-    checked in the years of the batch alone, and no key is kept as state.
+    checked in the years of the batch alone, and without ``late`` no key is kept as state.
+
+    ``late``, such as "7 days", is for landing folders that deliver pages again: those seen
+    within that time, by ``unseen_quotes``, cost no key check. A page that comes later than
+    that is left to the daily ingest, which reads all pages. A checkpoint is for one choice.
     """
 
-    def insert(batch: DataFrame, number: int) -> None:
-        quotes = extract_quotes(batch)
+    def insert(quotes: DataFrame) -> None:
         first, last = quotes.agg(F.min("date"), F.max("date")).first()
         if first is None:
             return
         rows = quotes.withColumnRenamed("fetched_at", ARRIVAL)
-        insert_if_absent(batch.sparkSession, rows, PRICES, table_path, dates=(first, last))
+        insert_if_absent(quotes.sparkSession, rows, PRICES, table_path, dates=(first, last))
+
+    def insert_pages(batch: DataFrame, number: int) -> None:
+        insert(extract_quotes(batch))
+
+    def insert_unseen(batch: DataFrame, number: int) -> None:
+        # A batch that state was asked for is computed once, though it is read twice.
+        given = scratch_path(batch.sparkSession, "unseen-quotes")
+        batch.write.parquet(given)
+        insert(batch.sparkSession.read.schema(batch.schema).parquet(given))
 
+    pages = page_stream(spark, landing, files_per_batch)
+    rows = pages if late is None else unseen_quotes(extract_quotes(pages), late)
     query = (
-        page_stream(spark, landing, files_per_batch)
-        .writeStream.foreachBatch(insert)
+        rows.writeStream.foreachBatch(insert_pages if late is None else insert_unseen)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
