@@ -37,48 +37,53 @@ VERIFY_PAIRS = 2048
 LINE_END = "\n"
 
 
-def segments(length: Column, edits: int = EDITS) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of each of ``edits + 1`` segments; the last are longer."""
+def segment_key(
+    line: Column, length: Column, less: Column | int, number: Column | int, shift: Column | int, edits: int
+) -> Column:
+    """What a line has in the place of a segment of a line that is shorter by ``less``.
+
+    Of its ``edits + 1`` segments, the last are longer. The key is that line's length, the
+    segment's number and the text that starts ``shift`` places off; null where the line
+    does not reach.
+    """
     parts = edits + 1
-    longer = length % parts
-    least = ((length - longer) / parts).cast("int")
-    out = []
-    for i in range(parts):
-        before = F.greatest(longer - (parts - i), F.lit(0))
-        out.append((least * i + before + 1, least + F.when(F.lit(parts - i) <= longer, 1).otherwise(0)))
-    return out
-
-
-def index_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]:
-    """A key per segment: its line's length, its number and its text."""
-    return [
-        F.xxhash64(length, F.lit(i), F.substring(line, start, size))
-        for i, (start, size) in enumerate(segments(length, edits))
-    ]
+    other = length - (F.lit(less) if isinstance(less, int) else less)
+    number = F.lit(number) if isinstance(number, int) else number
+    longer = other % parts
+    least = ((other - longer) / parts).cast("int")
+    before = F.greatest(longer - (parts - number), F.lit(0))
+    size = least + F.when(parts - number <= longer, 1).otherwise(0)
+    begin = least * number + before + 1 + shift
+    inside = (begin >= 1) & (begin + size - 1 <= length)
+    return F.when(inside, F.xxhash64(other, number, F.substring(line, begin, size)))
 
 
-def probe_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]:
-    """Keys a line is looked up by, besides its own index keys, for lines as long as
-    it or shorter.
+def lookups(edits: int = EDITS) -> list[tuple[int, int, int]]:
+    """(less, number, shift) of all places that a line is looked up by; its own come first.
 
     Of segment i (from 0) in a line shorter by ``less``, substrings start at most i
     places off, counted from either end, as at most i edits lie before it or the rest
     behind it.
     """
-    out: list[Column] = []
+    own = [(0, i, 0) for i in range(edits + 1)]
+    out = []
     for less in range(edits + 1):
-        other = length - less
-        for i, (start, size) in enumerate(segments(other, edits)):
+        for i in range(edits + 1):
             behind = edits - i
             low, high = max(-i, less - behind), min(i, less + behind)
-            for shift in range(low, high + 1):
-                if less == 0 and shift == 0:
-                    continue
-                begin = start + shift
-                inside = (begin >= 1) & (begin + size - 1 <= length)
-                key = F.xxhash64(other, F.lit(i), F.substring(line, begin, size))
-                out.append(F.when(inside, key))
-    return out
+            out += [(less, i, shift) for shift in range(low, high + 1)]
+    return own + [x for x in out if x not in own]
+
+
+def index_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]:
+    """A key per segment of a line."""
+    return [segment_key(line, length, *x, edits) for x in lookups(edits)[: edits + 1]]
+
+
+def probe_keys(line: Column, length: Column, edits: int = EDITS) -> list[Column]:
+    """Keys a line is looked up by, besides its own index keys, for lines as long as
+    it or shorter."""
+    return [segment_key(line, length, *x, edits) for x in lookups(edits)[edits + 1 :]]
 
 
 def within_edits(left: np.ndarray, m: np.ndarray, right: np.ndarray, n: np.ndarray, edits: int) -> np.ndarray:
@@ -214,13 +219,14 @@ def repeated_lines(
 
 def _near_lines(firsts: DataFrame, edits: int) -> DataFrame:
     """(first) of the lines within some edits of a line with an earlier place."""
-    length = F.col("length")
-    line = F.col("line")
-    keys = [(k, 1) for k in index_keys(line, length, edits)]
-    keys += [(k, 0) for k in probe_keys(line, length, edits)]
-    entries = F.array(*(F.struct(k.alias("key"), F.lit(i).alias("i")) for k, i in keys))
-    entered = firsts.where(length > edits).select("line_key", F.explode(entries).alias("e"))
-    entered = entered.select("e.key", "line_key", "e.i").where("key IS NOT NULL")
+    # One short expression for every place, as one for all of them at once is more code
+    # than the JVM compiles.
+    places = F.array(*(
+        F.struct(*map(F.lit, x), F.lit(int(n <= edits)).alias("i")) for n, x in enumerate(lookups(edits))
+    )).cast("array<struct<less: int, number: int, shift: int, i: int>>")
+    entered = firsts.where(F.col("length") > edits).select("line_key", "line", "length", F.inline(places))
+    key = segment_key(F.col("line"), F.col("length"), F.col("less"), F.col("number"), F.col("shift"), edits)
+    entered = entered.select(key.alias("key"), "line_key", "i").where("key IS NOT NULL")
     # Only keys under which an indexed line meets another line go on.
     own = Window.partitionBy("key")
     met = entered.select(
