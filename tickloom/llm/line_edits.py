@@ -33,7 +33,8 @@ WHOLE = -1
 SALTS = 16
 #: Buckets up to this many lines are paired by a join, others block by block.
 SMALL_BUCKET = 32
-VERIFY_PAIRS = 2048
+#: Pairs compared in one step, and code points of one side with their padding.
+VERIFY_PAIRS, VERIFY_CELLS = 2048, 2_000_000
 LINE_END = "\n"
 
 
@@ -143,10 +144,13 @@ def near_pairs(left: list[str], right: list[str], edits: int = EDITS) -> np.ndar
     size_r = np.fromiter(map(len, right), np.int64, len(right))
     fit = np.flatnonzero(np.abs(size_l - size_r) <= edits)
     # Lines of like lengths together, so that padding stays small.
-    fit = fit[np.argsort(size_l[fit], kind="stable")]
+    fit = fit[np.argsort(np.maximum(size_l[fit], size_r[fit]), kind="stable")]
+    longest = np.maximum(np.maximum(size_l[fit], size_r[fit]), 1)
     at = 0
     while at < len(fit):
-        stop = at + max(1, min(VERIFY_PAIRS, 4_000_000 // max(int(size_l[fit[at]]), 1)))
+        # All lines of a step are padded to its longest, which is its last.
+        cells = longest[at : at + VERIFY_PAIRS] * np.arange(1, len(fit[at : at + VERIFY_PAIRS]) + 1)
+        stop = at + max(1, int(np.searchsorted(cells, VERIFY_CELLS, side="right")))
         some = fit[at:stop]
         a, m = _points([left[i] for i in some], -2)
         b, n = _points([right[i] for i in some], -3)
