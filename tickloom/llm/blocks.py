@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
@@ -45,6 +45,15 @@ def block_pairs(rows: DataFrame, key: str, row_id: str, block_rows: int = BLOCK_
     )
 
 
+def grouped_pairs(rows: DataFrame, key: str, row_id: str) -> GroupedData:
+    """Block pairs as groups, dealt by bucket and pair.
+
+    The join in ``block_pairs`` leaves rows dealt by the key, which a plain grouping
+    would take over: all block pairs of a hot key would be one task.
+    """
+    return block_pairs(rows, key, row_id).repartition("bucket", "pair").groupBy("bucket", "pair")
+
+
 RUN = ("_run", "_run_too")
 
 

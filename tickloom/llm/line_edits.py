@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.blocks import block_pairs
+from tickloom.llm.blocks import grouped_pairs
 from tickloom.llm.common import packed, ship_code, stored
 
 EDITS = 2
@@ -277,8 +277,7 @@ def _near_lines(firsts: DataFrame, edits: int) -> DataFrame:
         firsts_right = right["first"].take(pa.array(later[1], pa.int64()))
         return pa.table({"first": pa.chunked_array(firsts_left.chunks + firsts_right.chunks, firsts_left.type)})
 
-    blocks = block_pairs(many, "key", "place").groupBy("bucket", "pair")
-    heavy = blocks.applyInArrow(compare, f"first {first_type}")
+    heavy = grouped_pairs(many, "key", "place").applyInArrow(compare, f"first {first_type}")
     return linked.unionByName(heavy).distinct()
 
 

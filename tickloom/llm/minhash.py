@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tickloom.llm.blocks import block_pairs
+from tickloom.llm.blocks import grouped_pairs
 from tickloom.llm.common import ship_code, stored
 from tickloom.llm.components import components
 
@@ -337,7 +337,7 @@ def _block_links(rows: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
                          "b": pa.array([y for _, y in links], pa.int64())})
 
-    return block_pairs(rows, "key", "id").groupBy("bucket", "pair").applyInArrow(compare, _PAIR)
+    return grouped_pairs(rows, "key", "id").applyInArrow(compare, _PAIR)
 
 
 def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
