@@ -15,6 +15,10 @@ pieces the spliced words are those of the whole text; merges never leave a word.
 
 Where an overlap has no safe position, as in a run of letters without end, the document
 is cut anew into pieces and overlaps four times as large, at last into one.
+
+The parts of a text between blanks are encoded apart for the same reason: no word of these
+patterns holds a blank, and nothing composes with one. So a text has the tokens of its
+parts, and a task encodes a part once as long as it remembers it.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import os
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ WIDER = 4
 #: Characters around a position that decide whether a text normalises apart there.
 AROUND = 16
 SALTS = 16
+#: Characters of parts whose counts a task remembers at most, besides one group of texts.
+KNOWN_CHARS = 8_000_000
 
 #: Word patterns that the argument above holds for. Fixed values.
 WORD_PATTERNS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
@@ -63,6 +70,8 @@ def load_tokenizer(path: str):
 def margin_of(description: dict) -> int | None:
     """Characters that a splice keeps from the ends of pieces, or None for no splices."""
     special = [t["content"] for t in description["added_tokens"]]
+    if any(" " in s for s in special):
+        return None
     if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]
            for t in description["added_tokens"]):
         return None
@@ -141,12 +150,35 @@ def spliced(encode, text: str, piece: int, overlap: int, margin: int | None) ->
     return total
 
 
+class PartCounts:
+    """Token counts of the parts of texts between blanks, each encoded once."""
+
+    def __init__(self, tokenizer, limit: int = KNOWN_CHARS):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.known: dict[str, int] = {"": 0}
+        self.size = 0
+
+    def of(self, texts: list[str]) -> list[int]:
+        parts = [text.split(" ") for text in texts]
+        if self.size > self.limit:
+            self.known, self.size = {"": 0}, 0
+        new = list(set(chain.from_iterable(parts)).difference(self.known))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update(zip(new, map(len, found)))
+        self.size += sum(map(len, new))
+        return [sum(map(self.known.__getitem__, some)) for some in parts]
+
+
 def _short_counts(rows: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _ = load_tokenizer(tokenizer_path)
+        tokenizer, margin = load_tokenizer(tokenizer_path)
+        parts = None if margin is None else PartCounts(tokenizer)
         for batch in batches:
             counts: list[int] = []
             for group in chunks_of(batch.column(2).to_pylist()):
+                if parts is not None:
+                    counts += parts.of(group)
+                    continue
                 found = tokenizer.encode_batch_fast(group, add_special_tokens=False)
                 counts += [len(e) for e in found]
             yield pa.RecordBatch.from_arrays(
