@@ -272,3 +272,11 @@ def test_metrics_freeze_unless_refreshed(spark, tmp_path):
     assert mae() == 1.0
     jobs.run_evaluate(spark, daily_config(tmp_path, refresh_metrics=True))
     assert mae() == 2.0
+
+
+def test_a_fit_keeps_no_node_numbers_and_reads_large_partitions():
+    """Both were written to disk: 400 bytes a row and group of nodes, and sums by partition."""
+    forest = forests._pipeline(100, 10, 1).getStages()[-1]
+    assert not forest.getCacheNodeIds()
+    assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10
+    assert -(-22_500_000 // forests.PART_ROWS) <= 24
