@@ -75,8 +75,10 @@ def probably_known(keys: DataFrame, table: Table, path: str, words: int = WORDS)
     years = [r[0] for r in wanted.select(YEAR).distinct().collect()]
     schema = f"word bigint, bits bigint, {YEAR} int"
     held = spark.read.schema(schema).parquet(_folder(path, words)).where(F.col(YEAR).isin(years))
-    # A word has a row for every batch that set bits of it.
-    met = wanted.join(held, [YEAR, "word"]).groupBy(*table.key, "mask").agg(F.bit_or("bits").alias("bits"))
+    # A word has a row for every batch that set bits of it. They meet before the keys do, so
+    # that the keys move once.
+    held = held.groupBy(YEAR, "word").agg(F.bit_or("bits").alias("bits"))
+    met = wanted.join(held, [YEAR, "word"])
     return met.where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select(*table.key)
 
 
