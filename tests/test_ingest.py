@@ -338,3 +338,28 @@ def test_a_symbol_is_read_from_its_own_files(spark, tmp_path):
             spark.conf.set(k, v)
     # In one file, only pages are passed over.
     assert 4 * read[16] < read[1], read
+
+
+def test_a_stream_remembers_only_quotes_in_time(spark, tmp_path):
+    """What is kept between batches grows with ``late``, not with a delivery; late pages go unsearched."""
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    first = datetime.datetime(2024, 1, 1, 22)
+
+    def deliver(*pages):
+        spark.createDataFrame(list(pages), PAGE_TYPE).write.mode("append").parquet(landing)
+        ingest_new_pages(spark, landing, table, state, late="3 days")
+        return read_table(spark, table, PRICES).count()
+
+    def kept():
+        return sum(
+            spark.read.parquet(str(f)).count() for f in tmp_path.glob("state*/**/*.parquet") if "sources" not in f.parts
+        )
+
+    days = [page("A", 200, first + datetime.timedelta(days=n), str(n)) for n in range(40)]
+    assert deliver(*days, *days) == 40
+    assert kept() == 3 and not list(tmp_path.glob("state/state"))
+    # A page without any figures is new; one exactly three days behind the newest is late.
+    at = first + datetime.timedelta(days=39)
+    assert deliver(("B", 200, at, "<p></p>"), page("C", 200, at - datetime.timedelta(days=3), "1"), *days) == 41
+    assert deliver(("B", 200, at, "<p></p>")) == 41
+    assert kept() == 8 and len(list((tmp_path / "state.seen").iterdir())) == 2
