@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import column, day
+from tickloom.functions import html
+from tickloom.functions.scalars import parse_price
 from tickloom.operators import ingest
 from tickloom.schemas import TABLES
 from tickloom.sources import sinks
@@ -363,3 +365,43 @@ def test_a_stream_remembers_only_quotes_in_time(spark, tmp_path):
     assert deliver(("B", 200, at, "<p></p>"), page("C", 200, at - datetime.timedelta(days=3), "1"), *days) == 41
     assert deliver(("B", 200, at, "<p></p>")) == 41
     assert kept() == 8 and len(list((tmp_path / "state.seen").iterdir())) == 2
+
+
+def test_text_of_a_price_is_read_once(spark):
+    plan = spark.range(1).select(parse_price(F.col("id").cast("string")).alias("price"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+    texts = spark.createDataFrame([("1,234.5",), ("1e999",), ("-1e999",), ("x",), (None,)], "t string")
+    assert [r[0] for r in texts.select(parse_price("t")).collect()] == [1234.5, None, None, None, None]
+
+
+ODD_ELEMENTS = [
+    "<span> 1 </span>", "<span></span>", "<span> </span>", "<span>a<b> c </b></span>", "<SPAN\n>a > b</Span >",
+    "<span>a &amp; b</span>", "<span x='&amp;'>\u00a0a\n</span>", "<span <span>a</span>b</span>", "<span>a",
+    "<span x='>'>a</span>", "<span>a<span>b</span>c</span>", "<span/>a</span>", "<spanner>a</spanner>",
+    "<span><!-- c -->a</span>", "<span>$1 \\1</span>", "", None,
+]
+
+
+@pytest.mark.parametrize("pieces", [(), ("text",)])
+def test_an_element_of_text_alone_has_the_same_text(spark, pieces):
+    pages = spark.createDataFrame([(f, h) for f, h in enumerate(ODD_ELEMENTS)], "id int, html string")
+    got = ingest.extract_page_text(pages, {"text": {"tag": "span"}}, pieces)
+    element = html.element_markup(html.visible(F.col("html")), tag="span")
+    wanted = pages.select("id", html.markup_text(element, bool(pieces)).alias("text"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+    bare = spark.createDataFrame([("<p>a </p>",), ("<p></p>",), ("<p>a<b>c</b></p>",), ("",)], "m string")
+    found = [r[0] for r in bare.select(html.text_alone(F.col("m"))).collect()]
+    assert found == ["a ", "<p></p>", "<p>a<b>c</b></p>", ""]
+
+
+def test_hidden_source_is_that_of_two_patterns(spark):
+    """One start for comments, scripts and styles hides what a pattern for each did."""
+    whole = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+    pages = [
+        "a<!-- <script> -->b</script>c", "<SCRIPT x>a</style></Script >b", "<scripty>a</scripty>", "<!-a-->",
+        "<style\n>a<!--</style>b-->", "<script>a", "<<!---->>", "<s>a</s><!--\n-->", "<script>a</script\n><style>b</style>",
+    ]
+    rows = spark.createDataFrame([(p,) for p in pages], "html string")
+    got = rows.select("html", html.visible(F.col("html")), F.regexp_replace("html", whole, "")).collect()
+    assert [r[1] for r in got] == [r[2] for r in got]
+    assert "|<" not in html.HIDDEN
