@@ -50,7 +50,8 @@ def test_a_staged_table_is_removed(spark):
 
 @pytest.mark.parametrize(
     "name, left",
-    [("sink_predictions", {"aligned", "predicted_stock_prices"})],
+    [("sink_predictions", {"aligned", "predicted_stock_prices"}),
+     ("bucketed_join", {"stock_prices", "predicted_stock_prices"})],
 )
 def test_only_tables_that_are_read_later_stay(spark, folder, name, left):
     shared = spark.conf.get("spark.checkpoint.dir")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.operators.ingest import ARRIVAL, first_per_key
 from tickloom.schemas import Table
 from tickloom.sources.sinks import ALL_OR_NOTHING
-from tickloom.sources.tables import conform, path_exists
+from tickloom.sources.tables import conform, path_exists, shuffles_dropped
 
 #: Buckets of a table unless it is created with another number: a few for every core of
 #: the cluster that will join it.
@@ -77,12 +77,6 @@ def insert_bucketed(
         # A merge join reads both sides as they lie; the batch is never sent around whole.
         fresh = fresh.join(stored.hint("merge"), list(table.key), "left_anti")
     name = _entry(spark, table, folder, buckets)
-    (
-        fresh.select(*table.schema.names)
-        .write.mode("append")
-        .options(**ALL_OR_NOTHING)
-        .format("parquet")
-        .bucketBy(buckets, *table.key)
-        .sortBy(*table.key)
-        .saveAsTable(name)
-    )
+    writer = fresh.select(*table.schema.names).write.mode("append").options(**ALL_OR_NOTHING)
+    with shuffles_dropped(spark):
+        writer.format("parquet").bucketBy(buckets, *table.key).sortBy(*table.key).saveAsTable(name)
