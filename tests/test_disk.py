@@ -50,7 +50,7 @@ def test_a_staged_table_is_removed(spark):
 
 @pytest.mark.parametrize(
     "name, left",
-    [("sink_predictions", {"aligned", "predicted_stock_prices"}),
+    [("sink_predictions", {"aligned", "predicted_stock_prices"}), ("sink_features", {"features", "full_stock_calculations"}),
      ("bucketed_join", {"stock_prices", "predicted_stock_prices"})],
 )
 def test_only_tables_that_are_read_later_stay(spark, folder, name, left):
